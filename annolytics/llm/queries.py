@@ -5,9 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from annolytics.llm import consensus as cs
-from annolytics.llm import related
+from annolytics.llm import encode, mix, related, split
 from annolytics.session import persist_table
-from annolytics.sources.tables import table
+from annolytics.sources.tables import clean_key, table
+
+
+def p2_found(spark, sf_dir):
+    p = split.pieces(table(spark, sf_dir, "qa_records").withColumn("record_uuid", clean_key("record_uuid")), ("record_uuid",), ("context_set", "answer"), with_text=False)
+    return p.groupBy("record_uuid", "field_name").agg(F.max("piece_no").alias("n")).where("n > 1").select("record_uuid", "field_name")
+
+
+def p2_pieces(spark, sf_dir):
+    q = table(spark, sf_dir, "qa_records").withColumn("record_uuid", clean_key("record_uuid"))
+    return split.pieces(q, ("record_uuid",), ("context_set", "answer"))
 
 
 def p3_found(spark, sf_dir):
@@ -45,7 +55,24 @@ def p4_alpha(spark, sf_dir):
     return cs.alpha(v).select("label_name", "n_items", F.round("alpha", 6).alias("alpha"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_splits, p4_found, p4_items, p4_annotators, p4_alpha)}
+def p7_ids(spark, sf_dir):
+    return encode.encode(table(spark, sf_dir, "documents"))
+
+
+def _mix(spark, sf_dir):
+    sized = encode.encode(table(spark, sf_dir, "documents"), count_only=True, keep=("source",))
+    return mix.mixed(persist_table(sized, "sizes"), table(spark, sf_dir, "mix_targets"))
+
+
+def p8_mix(spark, sf_dir):
+    return _mix(spark, sf_dir)[0]
+
+
+def p8_shares(spark, sf_dir):
+    return _mix(spark, sf_dir)[1].withColumn("actual_share", F.round("actual_share", 6))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_splits, p4_found, p4_items, p4_annotators, p4_alpha, p7_ids, p8_mix, p8_shares)}
 
 _STRIP = "E' \\t\\n\\r'"
 
@@ -58,6 +85,9 @@ WHERE {where} QUALIFY row_number() OVER (PARTITION BY record_uuid, chunk_id, ann
 
 
 ORACLE = {
+    "p2_found": f"""
+SELECT DISTINCT lower(trim(record_uuid, {_STRIP})) AS record_uuid, f AS field_name
+FROM (SELECT record_uuid, 'context_set' AS f, context_set AS t FROM qa_records UNION ALL SELECT record_uuid, 'answer', answer FROM qa_records) WHERE length(t) > 2000""",
     "p4_alpha": f"""
 WITH v AS ({_vote_sql("retrieval_rows", "topically_relevant", f"lower(trim(chunk_id, {_STRIP}))", "regexp_matches(chunk_id, '^.+-c[0-9]+$')")} UNION ALL {_vote_sql("grounding_rows", "support_present", "''", "true")}),
 i AS (SELECT label_name, record_uuid, chunk_id, count(*)::DOUBLE AS n, sum(v::INT)::DOUBLE AS k FROM v GROUP BY ALL HAVING count(*) > 1),
