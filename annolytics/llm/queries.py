@@ -5,11 +5,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from annolytics.llm import consensus as cs
-from annolytics.llm import encode, mix, related, split
+from annolytics.llm import defects, encode, mix, overlap, related, split
 from annolytics.session import persist_table
 from annolytics.sources.tables import clean_key, table
 
 
+def p1_found(spark, sf_dir):
+    p = overlap.overlaps(table(spark, sf_dir, "qa_records"))
+    return p.select(F.least("train_uuid", "eval_uuid").alias("record_uuid_a"), F.greatest("train_uuid", "eval_uuid").alias("record_uuid_b"))
+
+
+def p1_report(spark, sf_dir):
+    """Per split and source_domain of the evaluation side: its records, those that overlap with training, and the pairs."""
+    q = table(spark, sf_dir, "qa_records").select(clean_key("record_uuid").alias("eval_uuid"), clean_key("split").alias("split"), "source_domain").where("split <> 'train'").dropDuplicates(["eval_uuid"])
+    p = overlap.overlaps(table(spark, sf_dir, "qa_records")).groupBy("eval_uuid").agg(F.count(F.lit(1)).alias("n"), F.max("answer_containment").alias("c"))
+    return q.join(p, "eval_uuid", "left").groupBy("split", "source_domain").agg(F.count(F.lit(1)).alias("n_records"), F.count("n").alias("n_overlapping"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs"), F.round(F.avg("c"), 6).alias("mean_containment"))
+
+
 def p2_found(spark, sf_dir):
     p = split.pieces(table(spark, sf_dir, "qa_records").withColumn("record_uuid", clean_key("record_uuid")), ("record_uuid",), ("context_set", "answer"), with_text=False)
     return p.groupBy("record_uuid", "field_name").agg(F.max("piece_no").alias("n")).where("n > 1").select("record_uuid", "field_name")
@@ -55,6 +67,10 @@ def p4_alpha(spark, sf_dir):
     return cs.alpha(v).select("label_name", "n_items", F.round("alpha", 6).alias("alpha"))
 
 
+def p6_found(spark, sf_dir):
+    return defects.defects(table(spark, sf_dir, "qa_records"))
+
+
 def p7_ids(spark, sf_dir):
     return encode.encode(table(spark, sf_dir, "documents"))
 
@@ -72,7 +88,7 @@ def p8_shares(spark, sf_dir):
     return _mix(spark, sf_dir)[1].withColumn("actual_share", F.round("actual_share", 6))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_splits, p4_found, p4_items, p4_annotators, p4_alpha, p7_ids, p8_mix, p8_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_pieces, p3_found, p3_splits, p4_found, p4_items, p4_annotators, p4_alpha, p6_found, p7_ids, p8_mix, p8_shares)}
 
 _STRIP = "E' \\t\\n\\r'"
 
