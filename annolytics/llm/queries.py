@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from annolytics.llm import consensus as cs
-from annolytics.llm import defects, encode, mix, overlap, related, split
+from annolytics.llm import defects, encode, mix, overlap, pii, related, split
 from annolytics.session import persist_table
 from annolytics.sources.tables import clean_key, table
 
@@ -88,7 +88,16 @@ def p8_shares(spark, sf_dir):
     return _mix(spark, sf_dir)[1].withColumn("actual_share", F.round("actual_share", 6))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_pieces, p3_found, p3_splits, p4_found, p4_items, p4_annotators, p4_alpha, p6_found, p7_ids, p8_mix, p8_shares)}
+def p9_found(spark, sf_dir):
+    m = pii.mentions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "name_hints"))
+    return m.select("doc_id", "kind", "start_pos")
+
+
+def p9_masked(spark, sf_dir):
+    return pii.mask(table(spark, sf_dir, "documents"), table(spark, sf_dir, "name_hints"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_pieces, p3_found, p3_splits, p4_found, p4_items, p4_annotators, p4_alpha, p6_found, p7_ids, p8_mix, p8_shares, p9_found, p9_masked)}
 
 _STRIP = "E' \\t\\n\\r'"
 
