@@ -2,13 +2,16 @@
 
 Two records overlap when their queries agree and their answers agree; two texts agree when at least SHARE of the words
 of the longer one are matched by words of the other, order, case, accents, punctuation and markup aside. Words are kept
-as 64-bit hashes of (word, how often it occurred before in the text), so a multiset of words is a plain set.
+as 32-bit hashes of (word, how often it occurred before in the text), so a multiset of words is a plain set; the chance
+that a collision lifts a pair of 50 words over the limit is below one in a million.
 
 Candidates come from hashes of word n-grams. Since order doesn't count, an n-gram is taken over the words sorted from
 rare to frequent: two sets that share ALPHA of the words of the longer one share at least n words among their first
-size - ceil(SHARE * size) + n, so every set of n of those words is hashed, and no overlapping pair can be missed. n is 3;
+size - ceil(SHARE * size) + n, so every set of n of those words is hashed, and no overlapping pair can be missed. n is 2;
 for very short and very long queries, where there are too few or too many such sets, n is 1. The evaluation side's
-hashes are partitioned together with the training side's, never broadcast.
+hashes are partitioned together with the training side's, never broadcast. Each hash carries the query's size and a
+bitmap of its words: bitmaps can't differ in more bits than the sets differ in words, so the join itself drops what
+can't overlap, before anything is shuffled again.
 
 Scale: records that are alike in both texts are one class, and queries that are alike are one query class, so copies meet
 once. Queries are linked first; answers are compared only under linked queries, again through the rare words of their
@@ -31,7 +34,8 @@ from annolytics.llm.defects import defects, tokens
 from annolytics.session import persist_table
 from annolytics.sources.tables import clean_key
 
-SHARE, GRAM, SHORT, LONG, SLOTS = 0.8, 3, 5, 72, 1 << 17
+SHARE, GRAM, SHORT, LONG, SLOTS = 0.8, 2, 2, 200, 1 << 17
+BITMAP = 3  # words of 64 bits
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -45,7 +49,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_set(text: str | None) -> np.ndarray:
-    """Sorted 64-bit hashes of the words of a text; the k-th occurrence of a word is an element of its own."""
+    """Sorted 32-bit hashes of the words of a text; the k-th occurrence of a word is an element of its own."""
     import xxhash
 
     seen: dict[str, int] = {}
@@ -53,10 +57,8 @@ def word_set(text: str | None) -> np.ndarray:
     for w in tokens(text or ""):
         k = seen.get(w, 0)
         seen[w] = k + 1
-        out.append(xxhash.xxh3_64_intdigest(w if not k else f"{w}\0{k}"))
-    a = np.array(out, np.uint64)
-    a.sort()
-    return a.view(np.int64)
+        out.append(xxhash.xxh32_intdigest(w if not k else f"{w}\0{k}"))
+    return np.unique(np.array(out, np.uint32)).view(np.int32)
 
 
 def need(n: int) -> int:
@@ -65,9 +67,9 @@ def need(n: int) -> int:
 
 
 def prefix(words: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
-    """The len - need + n rarest words (ties by hash), as unsigned hashes."""
-    w = words.view(np.uint64)
-    order = np.lexsort((w, counts[(w & np.uint64(SLOTS - 1)).astype(np.int64)]))
+    """The len - need + n rarest words (ties by hash)."""
+    w = words.astype(np.int32).view(np.uint32)
+    order = np.lexsort((w, counts[w & np.uint32(SLOTS - 1)]))
     return w[order[: max(0, len(w) - need(len(w)) + n)]]
 
 
@@ -75,14 +77,14 @@ _COMBOS: dict[int, np.ndarray] = {}
 
 
 def signatures(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Hashes of the n-grams of a query's rare words, for n of 3 and, where the sizes call for it, of 1.
+    """Hashes of the n-grams of a query's rare words, for n of 2 and, where the sizes call for it, of 1.
 
     The n of a pair depends on the larger set; a set of n words meets sets of up to n / SHARE, hence the two ranges.
     """
     n = len(words)
     out = []
     if n * 5 >= (SHORT + 1) * 4 and n <= LONG:
-        p = np.sort(prefix(words, counts, GRAM))
+        p = np.sort(prefix(words, counts, GRAM)).astype(np.uint64)
         c = _COMBOS.get(len(p))
         if c is None:
             c = _COMBOS[len(p)] = np.array(list(combinations(range(len(p)), GRAM)), np.int64).reshape(-1, GRAM)
@@ -91,10 +93,18 @@ def signatures(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
             h = _mix(h ^ p[c[:, i]])
         out.append(h)
     if n <= SHORT or n * 5 > LONG * 4:
-        out.append(_mix(prefix(words, counts, 1) ^ np.uint64(1)))
+        out.append(_mix(prefix(words, counts, 1).astype(np.uint64) | np.uint64(1 << 40)))
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
+def bitmap(words: np.ndarray) -> np.ndarray:
+    """A bit for each word among 64 * BITMAP."""
+    at = words.astype(np.int32).view(np.uint32) % np.uint32(64 * BITMAP)
+    out = np.zeros(BITMAP, np.uint64)
+    np.bitwise_or.at(out, at >> 6, np.uint64(1) << (at & np.uint32(63)).astype(np.uint64))
+    return out.view(np.int64)
+
+
 def _counts(df: DataFrame, col: str) -> np.ndarray:
     """How often words fall into each of SLOTS counters, over all rows: at most SLOTS rows come to the driver."""
     rows = df.select(F.explode(col).alias("w")).groupBy(F.col("w").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("n")).toPandas()
@@ -107,15 +117,23 @@ def _with_hashes(df: DataFrame, col: str, counts: np.ndarray, one: bool, keep: s
     """(keep, sig) rows: the n-gram hashes of each set, or its prefix words where one is set."""
     shared = df.sparkSession.sparkContext.broadcast(counts)
 
+    bits = [] if one else [f"b{i}" for i in range(BITMAP)]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = shared.value
         for b in batches:
-            sigs = [prefix(w, counts, 1).view(np.int64) if one else signatures(w, counts) for w in b.pop(col)]
+            sets = b.pop(col)
+            sigs = [prefix(w, counts, 1).astype(np.int64) if one else signatures(w, counts) for w in sets]
+            if not one:
+                b["n"] = np.fromiter(map(len, sets), "int32", len(sets))
+                maps = np.array([bitmap(w) for w in sets]).reshape(-1, BITMAP)
+                for i, c in enumerate(bits):
+                    b[c] = maps[:, i]
             size = [len(s) for s in sigs]
             yield pd.DataFrame({**{c: np.repeat(b[c].to_numpy(), size) for c in b}, "sig": np.concatenate(sigs) if sigs else np.empty(0, np.int64)})
 
     cols = keep.split()
-    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*cols).schema)
+    types = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in df.select(*cols).schema] + ([] if one else ["n int", *[f"{c} bigint" for c in bits]]))
     return df.select(*cols, col).mapInPandas(run, types + ", sig bigint")
 
 
@@ -133,7 +151,7 @@ def read(df: DataFrame) -> DataFrame:
         for b in batches:
             yield pd.DataFrame({"record_uuid": b["record_uuid"], "train": b["train"], "q": list(map(word_set, b["query"])), "a": list(map(word_set, b["answer"]))})
 
-    r = base.mapInPandas(run, "record_uuid string, train boolean, q array<bigint>, a array<bigint>").where("size(q) > 0 AND size(a) > 0")
+    r = base.mapInPandas(run, "record_uuid string, train boolean, q array<int>, a array<int>").where("size(q) > 0 AND size(a) > 0")
     return r.withColumn("qid", F.xxhash64("q")).withColumn("cid", F.xxhash64("q", "a"))
 
 
@@ -143,7 +161,12 @@ def linked_classes(r: DataFrame) -> DataFrame:
     classes = r.groupBy("cid", "train").agg(F.first("qid").alias("qid"), F.first("a").alias("a"))
     queries = persist_table(r.groupBy("qid").agg(F.first("q").alias("q"), F.bool_or("train").alias("t"), F.bool_or(~F.col("train")).alias("e")), "queries")
     hashed = _with_hashes(queries, "q", _counts(queries, "q"), False, "qid t e")
-    te = hashed.where("t").select(F.col("qid").alias("t_qid"), "sig").join(hashed.where("e").select(F.col("qid").alias("e_qid"), "sig"), "sig").where("t_qid <> e_qid").select("t_qid", "e_qid").distinct()
+    side = lambda which, x: hashed.where(which).select(F.col("qid").alias(f"{x}_qid"), "sig", *[F.col(c).alias(f"{x}_{c}") for c in ("n", *[f"b{i}" for i in range(BITMAP)])])
+    n, m = F.col("t_n"), F.col("e_n")
+    most = F.greatest(n, m)
+    differ = sum((F.bit_count(F.col(f"t_b{i}").bitwiseXOR(F.col(f"e_b{i}"))) for i in range(BITMAP)), F.lit(0))
+    possible = (F.least(n, m) * 5 >= most * 4) & (differ <= n + m - 2 * F.floor((most * 4 + 4) / 5))
+    te = side("t", "t").join(side("e", "e"), "sig").where(possible & (F.col("t_qid") != F.col("e_qid"))).select("t_qid", "e_qid").distinct()
     q = queries.select("qid", "q")
     links = te.join(q.select(F.col("qid").alias("t_qid"), F.col("q").alias("tq")), "t_qid").join(q.select(F.col("qid").alias("e_qid"), F.col("q").alias("eq")), "e_qid").where(_agree("tq", "eq"))
     share = F.size(F.array_intersect("tq", "eq")) / F.size("eq")
