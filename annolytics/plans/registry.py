@@ -1,8 +1,8 @@
 """The core's queries and the SQL each is compared with."""
 
-from annolytics.plans import annotation, p5
+from annolytics.plans import annotation, operations, p5
 
-MODULES = (annotation, p5)
+MODULES = (annotation, operations, p5)
 
 
 def queries():
