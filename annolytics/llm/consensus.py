@@ -6,7 +6,7 @@ smoothed by pseudo-counts. The chance-corrected agreement (Krippendorff's alpha,
 
 Scale: votes are kept partitioned by item, so an E-step is a window without a shuffle, and an M-step a sum with a
 map-side part. Only the confusion counts, one row per annotator and label, pass through the driver between the rounds;
-they are joined back without a hint, so Catalyst broadcasts them only below its size threshold.
+they are broadcast only up to MAX_BROADCAST rows, and joined by a shuffle beyond.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from annolytics.sources.tables import clean_key
 ROUNDS, TOLERANCE = 40, 1e-4
 #: Pseudo-counts: an annotator starts as if right PRIOR_RIGHT and wrong PRIOR_WRONG times on either class.
 PRIOR_RIGHT, PRIOR_WRONG, PRIOR_CLASS = 2.0, 1.0, 1.0
+#: Rows of annotators and labels up to which the rates are broadcast; beyond, a shuffle join takes over.
+MAX_BROADCAST = 200_000
 CHUNK = r"^.+-c\d+$"
 
 
@@ -72,6 +74,8 @@ def consensus(v: DataFrame, rounds: int = ROUNDS, tolerance: float = TOLERANCE)
         m["w0"] = [math.log((1 - a) / b) for a, b in zip(m.sens, m.spec)]
         m["base"] = [math.log(a / (1 - a)) for a in prior]
         params = spark.createDataFrame(m[["label_name", "annotator_id", "w1", "w0", "base"]])
+        if len(m) <= MAX_BROADCAST:
+            params = F.broadcast(params)
         now = pd.concat([m.set_index(["label_name", "annotator_id"])[c] for c in ("sens", "spec")])
         if old is not None and float((now.sort_index().values - old.sort_index().values).__abs__().max()) < tolerance:
             break
@@ -89,7 +93,7 @@ def consensus(v: DataFrame, rounds: int = ROUNDS, tolerance: float = TOLERANCE)
 
 def _scored(v: DataFrame, params: DataFrame, w) -> DataFrame:
     z = F.when(F.col("vote") == 1, F.col("w1")).otherwise(F.col("w0"))
-    s = v.join(params, ["label_name", "annotator_id"])
+    s = v.join(params, ["label_name", "annotator_id"])  # params carry a hint where their size allows it
     return s.withColumn("z", F.sum(z).over(w) + F.col("base")).withColumn("p", 1 / (1 + F.exp(-F.col("z"))))
 
 
