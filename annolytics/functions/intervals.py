@@ -15,7 +15,7 @@ def wilson(k: str, n: str, level: float = 0.95) -> tuple[Column, Column]:
     den = 1 + F.try_divide(F.lit(z * z), nn)
     mid = (p + F.try_divide(F.lit(z * z), 2 * nn)) / den
     half = z * F.sqrt(F.try_divide(p * (1 - p), nn) + F.try_divide(F.lit(z * z), 4 * nn * nn)) / den
-    return F.greatest(F.lit(0.0), mid - half), F.least(F.lit(1.0), mid + half)
+    return F.when(nn > 0, F.greatest(F.lit(0.0), mid - half)), F.when(nn > 0, F.least(F.lit(1.0), mid + half))
 
 
 def bootstrap_mean(df: DataFrame, value: str, index: str, n: int, resamples: int, seed: int = 0, level: float = 0.95) -> DataFrame:
