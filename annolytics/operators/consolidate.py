@@ -12,19 +12,22 @@ def majority(df: DataFrame, keys: tuple[str, ...], labels: tuple[str, ...], orde
     """A2: one value per item and label. More than half decides each label on its own; where true and false are equally
     many, the value comes from the first row (in `order`) that agrees with every decided label, else from the first row.
 
-    Two aggregates with map-side parts and a join back on the item keys; no window over an item. Labels must not be
-    null. Adds n_votes. Ties in `order` are broken by the labels themselves, so repeated rows change nothing but counts.
+    Rows are first combined by item and combination of labels (map-side), so an item keeps at most 2 ** len(labels)
+    combinations, however many rows it has; the second aggregate works on those. Labels must not be null. Adds n_votes.
+    Ties in `order` are broken by the labels themselves, so repeated rows change nothing but counts.
     """
     ints = [F.col(c).cast("int").alias(c) for c in labels]
-    d = df.select(*keys, *order, *ints)
-    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_votes"), *[F.sum(c).alias(f"s_{c}") for c in labels])
-    m = d.join(counts, [*keys])
-    agrees = F.lit(True)
-    for c in labels:
-        agrees = agrees & ((2 * F.col(f"s_{c}") == F.col("n_votes")) | (F.col(c) == (2 * F.col(f"s_{c}") > F.col("n_votes")).cast("int")))
-    first = F.min(F.struct((~agrees).alias("no"), *order, *labels)).alias("first")
-    g = m.groupBy(*keys).agg(F.max("n_votes").alias("n_votes"), *[F.max(f"s_{c}").alias(f"s_{c}") for c in labels], first)
-    value = [F.when(2 * F.col(f"s_{c}") > F.col("n_votes"), 1).when(2 * F.col(f"s_{c}") < F.col("n_votes"), 0).otherwise(F.col(f"first.{c}")).cast("int").alias(c) for c in labels]
+    combos = df.select(*keys, *order, *ints).groupBy(*keys, *labels).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("first"))
+    g = combos.groupBy(*keys).agg(F.sum("n").alias("n_votes"), *[F.sum(F.col(c) * F.col("n")).alias(f"s_{c}") for c in labels], F.collect_list(F.struct("first", *labels)).alias("combos"))
+
+    def place(x):
+        agrees = F.lit(True)
+        for c in labels:
+            agrees = agrees & ((2 * F.col(f"s_{c}") == F.col("n_votes")) | (x[c] == (2 * F.col(f"s_{c}") > F.col("n_votes")).cast("int")))
+        return F.struct((~agrees).alias("no"), x["first"].alias("first"), *[x[c].alias(c) for c in labels])
+
+    g = g.withColumn("rep", F.array_min(F.transform("combos", place)))
+    value = [F.when(2 * F.col(f"s_{c}") > F.col("n_votes"), 1).when(2 * F.col(f"s_{c}") < F.col("n_votes"), 0).otherwise(F.col(f"rep.{c}")).cast("int").alias(c) for c in labels]
     return g.select(*keys, "n_votes", *value)
 
 
