@@ -11,10 +11,12 @@ Each pair is judged once, in this order: empty, refusal, copy, other_language, t
   other languages outweigh those of the query's language.
 * truncated: a pushdown parser walks over fences, brackets, quotations, list items, table rows and markup; something that
   is left open, a last line without the end that its kind demands, or an item that lacks parts its siblings have, tells
-  that the answer breaks off. Whether the last word of an item is a whole word is decided against the words that end
-  items anywhere in the table: a word that never stands alone and begins another one was cut.
+  that the answer breaks off. Whether the last word of an item is a whole word is decided against the words of all
+  answers in the table, the last ones of answers that may be cut left out: a word that never stands alone and begins
+  another one was cut. A cut word that begins no other word of the table stays undetected.
 
-Scale: one map over the rows, then joins with the distinct words that end items (a map-side distinct). No caps.
+Scale: one map over the rows, which also gives each batch's distinct words, then joins with the distinct words of all
+answers and with the beginnings of those that start like a word in question. No caps.
 """
 
 from __future__ import annotations
@@ -283,12 +285,33 @@ def _stray_number(lines: list[str]) -> bool:
     return not before or int(m.group(1)) != before[-1] + 1
 
 
+def _body(answer: str) -> tuple[list[str], list[str]]:
+    """The answer's lines that aren't blank, up to the one that tells whether it breaks off, and those behind it."""
+    lines = [x for x in unicodedata.normalize("NFC", plain(answer)).rstrip().splitlines() if x.strip()]
+    end = len(lines)
+    while end > 1 and (SOURCE_LINE.match(lines[end - 1]) and not BULLET.match(lines[end - 1]) or not CITES.sub("", lines[end - 1]).strip() or _stray_number(lines[:end])):
+        end -= 1
+    return lines[:end], lines[end:]
+
+
+#: A word that stands alone: no digits, no hyphen behind it.
+ALONE = re.compile(r"(?<!\w)[^\W\d_]++(?![\w\-‐‑])")
+
+
+def whole_words(answer: str | None, whole: bool) -> set[str]:
+    """The words of an answer in lower case that are surely whole: all but the last one where the answer may be cut."""
+    if not answer:
+        return set()
+    body, behind = _body(answer)
+    words = ALONE.findall("\n".join(body))
+    if words and not whole:
+        words.pop()
+    return {w.lower() for w in words + ALONE.findall("\n".join(behind))}
+
+
 def truncation(answer: str) -> tuple[str, str | None]:
     """('cut' | 'whole' | 'word', word): 'word' leaves the verdict to whether the returned last word is a whole one."""
-    t = plain(answer).rstrip()
-    lines = [x for x in t.split("\n") if x.strip()]
-    while len(lines) > 1 and (SOURCE_LINE.match(lines[-1]) and not BULLET.match(lines[-1]) or not CITES.sub("", lines[-1]).strip() or _stray_number(lines)):
-        lines.pop()
+    lines, _ = _body(answer)
     if not lines:
         return "whole", None
     if BARE_BULLET.match(lines[-1]):
@@ -360,7 +383,7 @@ def _item(item: str, peers: list[str]) -> tuple[str, str | None]:
     elif (mine[0] and re.search(r"\s[–—-]\s*\w*$", item)) or (mine[1] and not mine[2] and not mine[3]):
         # alone of its kind: a place after a dash wants its year, a listing its number and place
         return "cut", None
-    return ("whole", None) if item.endswith(")") else ("word", words[-1])
+    return ("whole", None) if item.endswith(")") else ("word", words[-1].lower())
 
 
 def judge(query: str | None, answer: str | None) -> tuple[str | None, str | None]:
@@ -385,21 +408,33 @@ def defects(df: DataFrame, words_of: DataFrame | None = None, key: str = "record
     out; of a key's rows with different verdicts the first by name holds. words_of (by default df) gives the words that
     end items. An empty table gives no rows; extra columns are ignored.
     """
-    base = df.select(clean_key(key).alias(key), "query", "answer").where(F.col(key).isNotNull())
+    base = df.select(clean_key(key).alias(key), "query", "answer")
+
+    own_words = words_of is None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = [judge(q, a) for q, a in zip(b["query"], b["answer"])]
             out = pd.DataFrame({key: b[key], "defect": [g[0] for g in got], "word": [g[1] for g in got]})
-            yield out[out["defect"].notna() | out["word"].notna()]
+            yield out[out[key].notna() & (out["defect"].notna() | out["word"].notna())]
+            if own_words:
+                # rows without key: the words of the table
+                words = set().union(*(whole_words(a, g == (None, None)) for a, g in zip(b["answer"], got)))
+                yield pd.DataFrame({key: None, "defect": None, "word": sorted(words)}, dtype=object)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"word": sorted(set().union(*(whole_words(a, bool(a) and truncation(a) == ("whole", None)) for a in b["answer"])))}, dtype=object)
 
-    # written once: both branches below read it
+    # written once: the branches below read it
     judged = persist_table(base.mapInPandas(run, f"{key} string, defect string, word string"), "judged")
-    # words that end a line or an item, anywhere
-    src = df if words_of is None else words_of
-    ends = src.select(F.explode(F.regexp_extract_all("answer", F.lit(r"\d[ ](\p{L}{3,})[ ]*\n"), 1)).alias("word")).distinct()
-    begun = ends.select("word", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substr("word", F.lit(1), i))).alias("begin")).select("begin").distinct()
-    sure = judged.where("defect IS NOT NULL").select(key, "defect")
-    unsure = judged.where("defect IS NULL").select(key, "word")
-    cut = unsure.join(ends, "word", "left_anti").join(begun, F.col("word") == F.col("begin"), "left_semi").select(key, F.lit("truncated").alias("defect"))
+    sure = judged.where(F.col(key).isNotNull() & F.col("defect").isNotNull()).select(key, "defect")
+    unsure = judged.where(F.col(key).isNotNull() & F.col("defect").isNull()).select(key, "word")
+    told = judged.where(F.col(key).isNull()).select("word") if own_words else persist_table(words_of.select("answer").mapInPandas(read, "word string"), "words")
+    alone = told.distinct()
+    asked = unsure.select("word").distinct().join(alone, "word", "left_anti")
+    # beginnings of words, of the lengths and first letters that are asked for
+    first = asked.select(F.substring("word", 1, 1).alias("first"), F.length("word").alias("n")).distinct()
+    begun = alone.select("word", F.substring("word", 1, 1).alias("first")).join(F.broadcast(first), "first").where(F.length("word") > F.col("n")).select(F.expr("substring(word, 1, n)").alias("word")).distinct()
+    cut = unsure.join(asked.join(begun, "word", "left_semi"), "word", "left_semi").select(key, F.lit("truncated").alias("defect"))
     return sure.unionAll(cut).groupBy(key).agg(F.min("defect").alias("defect"))
