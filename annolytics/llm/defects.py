@@ -5,8 +5,8 @@ Each pair is judged once, in this order: empty, refusal, copy, other_language, t
 * empty: nothing is left of the answer without markup, labels and placeholders.
 * refusal: a grammar per language tells sentences that decline and sentences of courtesy; an answer of nothing else, with
   one of the former at least, only declines.
-* copy: greedy string tiling lays the longest common runs of words of query and answer over the answer; where tiles cover
-  nearly all of it, the answer only repeats the query. The query may be used again, as often as it is repeated.
+* copy: common runs of words of query and answer are laid over the answer as tiles; where the best tiling covers nearly
+  all of it, the answer only repeats the query. The query may be used again, as often as it is repeated.
 * other_language: scripts first, then function words of each sentence; an answer is in another language when sentences of
   other languages outweigh those of the query's language.
 * truncated: a pushdown parser walks over fences, brackets, quotations, list items, table rows and markup; something that
@@ -128,37 +128,87 @@ def plain(text: str) -> str:
     return re.sub(r"[​-‏⁠﻿­]", "", t)
 
 
+_PHRASES = re.compile("(?:(?:%s)(?: |$))+" % "|".join(sorted((*PLACEHOLDER_PHRASES, "none", "null", "nil", "nan", "undefined", "empty", "leer", "tbd", "todo", "entfällt"), key=len, reverse=True)))
+
+
+def _is_placeholder(t: str) -> bool:
+    while (m := LABEL.match(t)) and m.end():
+        t = t[m.end() :]
+    words = WORD.findall(t.lower())
+    bare = t.lower().strip("()[]{}<>*_`'\"„“”.- \t\n")
+    return not words or bare in PLACEHOLDERS or bool(_PHRASES.fullmatch(" ".join(words))) or all(re.fullmatch(r"\d", w) for w in words)
+
+
 def is_empty(answer: str | None) -> bool:
     if answer is None:
         return True
-    if len(answer) > 400 and WORD.search(answer, 200):
-        return False
     t = unicodedata.normalize("NFKC", plain(answer)).strip()
-    while (m := LABEL.match(t)) and m.end():
-        t = t[m.end() :]
     t = re.sub(r"^```\w*|```$", "", t).strip()
-    words = WORD.findall(t.lower())
-    if not words:
+    if _is_placeholder(t):
         return True
-    if len(words) > 4:
-        return False
-    bare = t.lower().strip("()[]{}<>*_`'\"„“”.- \t\n")
-    return bare in PLACEHOLDERS or " ".join(words) in PLACEHOLDER_PHRASES or all(re.fullmatch(r"\d{1,2}", w) for w in words) and not re.search(r"\w\w", t)
+    # more of them, on lines or in cells of their own; a list's numbers count as its signs
+    numbers: list[int] = []
+    for part in re.split(r"[\n|]", t):
+        part = part.strip()
+        if m := re.match(r"(\d{1,3})[.)](?:\s+|$)", part):
+            part = part[m.end() :]
+            if not WORD.search(part):
+                numbers.append(int(m.group(1)))
+        if not _is_placeholder(part) and not all(map(_is_placeholder, SENTENCE_END.split(part))):
+            return False
+    return not numbers or len(numbers) > 1 and numbers == list(range(numbers[0], numbers[0] + len(numbers)))
+
+
+def _chains(pattern: str) -> list[list[re.Pattern]]:
+    """The alternatives of a pattern, each cut at its `.*` (outside groups) into parts that follow one another."""
+    chains, part, depth, i = [[]], "", 0, 0
+    pattern = re.sub(r"\s+", "", pattern)
+    while i <= len(pattern):
+        two, c = pattern[i : i + 2], pattern[i : i + 1]
+        if depth == 0 and (c in ("", "|") or two == ".*"):
+            chains[-1].append(re.compile(part, re.I | re.S))
+            part = ""
+            if c == "|":
+                chains.append([])
+            i += 2 if two == ".*" else 1
+            continue
+        step = 2 if c == "\\" else 1
+        depth += (c == "(") - (c == ")")
+        part += pattern[i : i + step]
+        i += step
+    return chains
+
+
+_DECLINE_CHAINS = _chains(DECLINE.pattern)
+
+
+def declines(sentence: str) -> bool:
+    """Whether the grammar finds a decline in a sentence; part after part in long ones, in time linear in their length."""
+    if len(sentence) <= 1500:
+        return bool(DECLINE.search(sentence))
+    for chain in _DECLINE_CHAINS:
+        at = 0
+        for part in chain:
+            m = part.search(sentence, at)
+            if not m:
+                break
+            at = m.end()
+        else:
+            return True
+    return False
 
 
 def is_refusal(answer: str) -> bool:
     t = plain(answer).strip().strip("*_`#> \n")
     while (m := LABEL.match(t)) and m.end():
         t = t[m.end() :]
-    if len(t) > 1500 or not DECLINE.search(t):
-        return False
     declined = False
     for s in SENTENCE_END.split(t):
         s = s.strip(" \t*_`\"'„“”»«")
         if not WORD.search(s):
             continue
         core = APOLOGY.sub("", s)
-        if DECLINE.search(core) and not CONCEDES.search(core):
+        if declines(core) and not CONCEDES.search(core):
             declined = True
         elif WORD.search(core) and not COURTESY.match(s):
             return False
@@ -181,43 +231,47 @@ def fold(text: str) -> str:
 
 
 def tile_cover(answer: list[str], query: list[str], least: int = MIN_TILE) -> float:
-    """The share of the answer's words under greedy string tiles of at least `least` words of the query."""
+    """The largest share of the answer's words under tiles of at least `least` words that the query holds in a row.
+
+    The query may be used any number of times. A suffix automaton of the query gives the longest run that ends at each
+    word of the answer; the best tiling follows from left to right, in time linear in both texts.
+    """
     if not answer or not query:
         return 0.0
-    places: dict[str, list[int]] = {}
-    for j, w in enumerate(query):
-        places.setdefault(w, []).append(j)
-    covered = [False] * len(answer)
-    total = 0
-    # rounds over the query: within one, each word of the query is used once
-    while True:
-        used, won = [False] * len(query), 0
-        while True:
-            best = least - 1
-            tiles: list[tuple[int, int]] = []
-            for i, w in enumerate(answer):
-                if covered[i]:
-                    continue
-                for j in places.get(w, ()):
-                    if used[j] or (i and j and not covered[i - 1] and not used[j - 1] and answer[i - 1] == query[j - 1]):
-                        continue
-                    k = 0
-                    while i + k < len(answer) and j + k < len(query) and answer[i + k] == query[j + k] and not covered[i + k] and not used[j + k]:
-                        k += 1
-                    if k > best:
-                        best, tiles = k, [(i, j)]
-                    elif k == best and k >= least:
-                        tiles.append((i, j))
-            if not tiles:
-                break
-            for i, j in tiles:
-                if not any(covered[i : i + best]) and not any(used[j : j + best]):
-                    covered[i : i + best] = [True] * best
-                    used[j : j + best] = [True] * best
-                    won += best
-        total += won
-        if not won or total == len(answer):
-            return total / len(answer)
+    step: list[dict[str, int]] = [{}]
+    link, size, last = [-1], [0], 0
+    for w in query:
+        new = len(step)
+        step.append({})
+        link.append(0)
+        size.append(size[last] + 1)
+        p = last
+        while p >= 0 and w not in step[p]:
+            step[p][w] = new
+            p = link[p]
+        if p >= 0:
+            q = step[p][w]
+            if size[q] == size[p] + 1:
+                link[new] = q
+            else:
+                twin = len(step)
+                step.append(dict(step[q]))
+                link.append(link[q])
+                size.append(size[p] + 1)
+                while p >= 0 and step[p].get(w) == q:
+                    step[p][w] = twin
+                    p = link[p]
+                link[q] = link[new] = twin
+        last = new
+    covered, at, run = [0], 0, 0
+    for i, w in enumerate(answer, 1):
+        while at and w not in step[at]:
+            at = link[at]
+            run = size[at]
+        if w in step[at]:
+            at, run = step[at][w], run + 1
+        covered.append(max(covered[-1], covered[i - run] + run if run >= least else 0))
+    return covered[-1] / len(answer)
 
 
 def is_copy(answer: str, query: str) -> bool:
@@ -226,8 +280,8 @@ def is_copy(answer: str, query: str) -> bool:
     while (m := LABEL.match(t)) and m.end():
         t = t[m.end() :]
     a = tokens(t)
-    if len(q) < MIN_TILE or not a or len(a) > 6 * len(q):
-        return a == q and bool(a)
+    if len(q) < MIN_TILE or not a:
+        return bool(a and q) and a == q * (len(a) // len(q))
     shared = set(q)
     if sum(w in shared for w in a) < COPY_COVER * len(a):
         return False

@@ -16,3 +16,30 @@ def test_words_cut_inside_items_of_any_form(spark):
     df = spark.createDataFrame(rows, PAIRS)
     assert {(r.record_uuid, r.defect) for r in defects.defects(df).collect()} == {("cut", "truncated"), ("short", "truncated")}
     assert {r.record_uuid for r in defects.defects(df.where("record_uuid <> 'prose'"), words_of=df).collect()} == {"cut", "short"}
+
+
+def test_long_defects_have_no_limit_of_length():
+    decline = "Zu dieser Frage kann ich leider keine Auskunft geben. Dazu liegen mir keine Informationen vor. "
+    assert defects.judge(Q, decline * 30)[0] == "refusal"
+    assert defects.judge(Q, decline * 30 + "Die Karte wirkt in Obertal seit 2014 sehr gut.")[0] is None
+    assert defects.judge(Q, '<div class="antwort-block antwort-block-leer rahmen">\n' * 12)[0] == "empty"
+    assert defects.judge(Q, "keine Angabe\n" * 3)[0] == defects.judge(Q, "keine Angabe, keine Angabe, keine Angabe")[0] == "empty"
+    assert defects.judge(Q, "| n/a | n/a |\n" * 40)[0] == "empty"
+    assert defects.judge(Q, "1. \n2. \n3. \n10. Die Karte wirkt.")[0] != "empty" and not defects.is_empty("42.") and defects.is_empty("1. keine Angabe")
+    assert defects.judge(Q, "\n".join([Q] * 7))[0] == defects.judge(Q, "\n".join([Q] * 500))[0] == "copy"
+    # long sentences take another way to the same verdict
+    for s in ("I regret that we " + "really " * 500 + "cannot say", "ich " + "und so weiter " * 500 + "weiß es nicht", "wir " * 2000):
+        assert defects.declines(s) == bool(defects.DECLINE.search(s))
+
+
+def test_tiles_against_all_tilings():
+    import random
+
+    rnd = random.Random(6)
+    for _ in range(300):
+        q, a = [rnd.choice("abc") for _ in range(rnd.randint(1, 9))], [rnd.choice("abcd") for _ in range(rnd.randint(1, 14))]
+        best = [0]
+        for i in range(1, len(a) + 1):
+            runs = [best[j] + i - j for j in range(i - 2) if " ".join(a[j:i]) in " ".join(q)]
+            best.append(max([best[-1], *runs]))
+        assert defects.tile_cover(a, q) == best[-1] / len(a)
