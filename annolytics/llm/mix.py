@@ -3,7 +3,9 @@
 Each source is a stream of texts in the order of a hash, repeated at most max_repeats times, and cut into blocks of
 equal size in tokens. With w the source's weight, its k-th block (from 0) is released at slot floor(k / w) and due at
 slot ceil((k + 1) / w). Serving in each slot the released block that is due first (ties: heavier weight, then name) keeps
-every source within less than one block of its share at every moment, which the schedule asserts.
+every source within less than one block of its share at every moment, which the schedule asserts. A quota needn't be a
+whole number of blocks, so the light sources' last blocks are due after the heavy ones are done: then each source drops
+out with its last block, and the rest is served by deadline until every source has all its blocks.
 
 Scale: the number of blocks is a parameter and the sources are the target table's rows, so the schedule is of bounded
 size at every amount of text and is made on the driver. Running sums over a source, which may hold a third of all texts,
@@ -22,24 +24,33 @@ from pyspark.sql import functions as F
 BLOCKS, BUCKETS, MAX_SOURCES, LEAST_USE = 10_000, 256, 10_000, 0.25
 
 
-def schedule(weights: dict[str, int], blocks: int) -> list[tuple[int, str, int]]:
-    """(slot, source, block) of `blocks` slots for integer weights (tokens); sources without weight don't occur."""
+def schedule(weights: dict[str, int], blocks: int, need: dict[str, int] | None = None) -> list[tuple[int, str, int]]:
+    """(slot, source, block) for integer weights (tokens); sources without weight don't occur.
+
+    Without need, `blocks` slots, of which every source takes its share. With need, the blocks that each source has in
+    all, it goes on until every source has them, and blocks is not read; slots follow one another without gaps.
+    """
     total = sum(weights.values())
     w = {s: Fraction(v, total) for s, v in weights.items() if v > 0}
-    waiting = [(0, s, 0) for s in sorted(w)]
+    left = {s: need[s] if need is not None else blocks for s in w}
+    waiting = [(0, s, 0) for s in sorted(w) if left[s]]
     heapq.heapify(waiting)
     ready: list[tuple[int, Fraction, str, int]] = []
-    served, out = dict.fromkeys(w, 0), []
-    for slot in range(blocks if w else 0):
-        while waiting and waiting[0][0] <= slot:
+    out, done = [], False
+    while (ready or waiting) and (need is not None or len(out) < blocks):
+        slot = len(out)
+        # once a source has dropped out, blocks may be served before their release
+        while waiting and (waiting[0][0] <= slot or done and not ready):
             _, s, k = heapq.heappop(waiting)
             heapq.heappush(ready, (math.ceil((k + 1) / w[s]), -w[s], s, k))
         due, _, s, k = heapq.heappop(ready)
         if due < slot + 1:
             raise AssertionError("a block missed its deadline")
         out.append((slot, s, k))
-        served[s] += 1
-        heapq.heappush(waiting, (max(slot + 1, math.floor((k + 1) / w[s])), s, k + 1))
+        if k + 1 < left[s]:
+            heapq.heappush(waiting, (max(slot + 1, math.floor((k + 1) / w[s])), s, k + 1))
+        elif need is not None:
+            done = True
     return out
 
 
@@ -86,7 +97,10 @@ def mixed(docs: DataFrame, targets: DataFrame, total: int | None = None, blocks:
     quota = plan(sizes, rows, total)
     all_tokens = sum(quota.values())
     block = max(1, math.ceil(all_tokens / blocks))
-    slots = schedule(quota, math.ceil(all_tokens / block) + len(quota) if all_tokens else 0)
+    need = {s: -(-q // block) for s, q in quota.items()}
+    slots = schedule(quota, sum(need.values()), need)
+    if len(slots) != sum(need.values()):
+        raise AssertionError("a block has no slot")
     slots_df = spark.createDataFrame([(s, k, slot) for slot, s, k in slots], "source string, block long, slot long")
     quota_df = spark.createDataFrame([(s, quota[s], sizes.get(s, 0)) for s, _, _ in rows], "source string, quota long, size long")
     starts_df = spark.createDataFrame(starts, "source string, bucket int, start long")
@@ -98,7 +112,8 @@ def mixed(docs: DataFrame, targets: DataFrame, total: int | None = None, blocks:
     u = d.withColumn("at", at).where("quota > at").withColumn("use_no", F.explode(F.sequence(F.lit(1), uses.cast("int"))))
     begin = F.col("at") + (F.col("use_no") - 1) * F.col("size")
     u = u.withColumn("block", F.floor(begin / block).cast("bigint")).withColumn("position", (begin % block).cast("bigint"))
-    texts = u.join(slots_df, ["source", "block"], "left").select("source", "doc_id", "use_no", "n_tokens", "slot", "position")
+    texts = u.join(slots_df, ["source", "block"], "left")
+    texts = texts.withColumn("slot", F.coalesce("slot", F.raise_error(F.lit("a text without a slot")).cast("bigint"))).select("source", "doc_id", "use_no", "n_tokens", "slot", "position")
     got = u.groupBy("source").agg(F.sum("n_tokens").alias("mixed"), F.count_if(F.col("use_no") == 1).alias("n_texts"), F.count(F.lit(1)).alias("n_uses"))
     r = known.join(quota_df, "source").join(got, "source", "left")
     r = r.select("source", "target_share", "max_repeats", F.col("size").alias("available_tokens"), F.col("quota").alias("planned_tokens"), *[F.coalesce(c, F.lit(0)).cast("bigint").alias(a) for c, a in (("mixed", "mixed_tokens"), ("n_texts", "n_texts"), ("n_uses", "n_uses"))])

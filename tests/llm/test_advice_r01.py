@@ -43,3 +43,36 @@ def test_tiles_against_all_tilings():
             runs = [best[j] + i - j for j in range(i - 2) if " ".join(a[j:i]) in " ".join(q)]
             best.append(max([best[-1], *runs]))
         assert defects.tile_cover(a, q) == best[-1] / len(a)
+
+
+def test_schedule_gives_every_source_all_its_blocks():
+    import random
+
+    from annolytics.llm import mix
+
+    rnd = random.Random(8)
+    for _ in range(200):
+        quota = {f"s{i}": rnd.choice([0, rnd.randint(1, 30), rnd.randint(1, 3000)]) for i in range(rnd.randint(1, 12))}
+        block = rnd.randint(1, 60)
+        need, total = {s: -(-q // block) for s, q in quota.items()}, sum(quota.values())
+        out = mix.schedule(quota, sum(need.values()), need)
+        assert [x[0] for x in out] == list(range(sum(need.values())))
+        assert {(s, k) for _, s, k in out} == {(s, k) for s, n in need.items() for k in range(n)}
+        served = dict.fromkeys(quota, 0)
+        for slot, s, k in out:
+            assert k == served[s]
+            served[s] += 1
+            if any(served[x] == need[x] for x in quota if quota[x]):
+                break
+            assert all(abs(served[x] - quota[x] / total * (slot + 1)) < 1 for x in quota)
+
+
+def test_every_text_of_the_mix_has_a_slot(spark):
+    from annolytics.llm import mix
+
+    docs = [(i, s, 7) for s, n in (("a", 400), ("b", 100), ("c", 3), ("d", 2), ("e", 1)) for i in range(n)]
+    docs = spark.createDataFrame([(n, s, t) for n, (_, s, t) in enumerate(docs)], "doc_id long, source string, n_tokens int")
+    shares = spark.createDataFrame([("a", 0.6, 1), ("b", 0.2, 1), ("c", 0.1, 1), ("d", 0.06, 1), ("e", 0.04, 1)], "source string, target_share double, max_repeats int")
+    for blocks in (3, 10, 40):
+        rows = mix.mixed(docs, shares, blocks=blocks)[0].collect()
+        assert {r.source for r in rows} == set("abcde") and all(r.slot is not None for r in rows)
