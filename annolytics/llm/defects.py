@@ -7,7 +7,8 @@ Each pair is judged once, in this order: empty, refusal, copy, other_language, t
   one of the former at least, only declines.
 * copy: common runs of words of query and answer are laid over the answer as tiles; where the best tiling covers nearly
   all of it, the answer only repeats the query. The query may be used again, as often as it is repeated.
-* other_language: scripts first, then function words of each sentence; an answer is in another language when sentences of
+* other_language: scripts first, then function words of each sentence; the query's language is that of its own words or,
+  where they don't tell, the one that the language column names; an answer is in another language when sentences of
   other languages outweigh those of the query's language.
 * truncated: a pushdown parser walks over fences, brackets, quotations, list items, table rows and markup; something that
   is left open, a last line without the end that its kind demands, or an item that lacks parts its siblings have, tells
@@ -89,6 +90,24 @@ FUNCTION_WORDS = {
 _WORD_LANGS: dict[str, tuple[tuple[str, float], ...]] = {}
 
 
+# fixed values: names of languages in the language column, by the function words that stand for them; other: another script
+LANGUAGE_NAMES = {
+    "de": "de deu ger german deutsch allemand duits", "en": "en eng english englisch anglais engels", "fr": "fr fra fre french französisch franzoesisch français francais frans",
+    "nl": "nl nld dut dutch niederländisch niederlaendisch nederlands néerlandais neerlandais", "es": "es spa spanish spanisch español espanol espagnol spaans", "it": "it ita italian italienisch italiano italien italiaans",
+    "pl": "pl pol polish polnisch polski polonais pools",
+    "other": "ru rus russian russisch русский uk ukr ukrainian ukrainisch українська bg bul bulgarian bulgarisch el ell gre greek griechisch ελληνικά ar ara arabic arabisch fa fas per persian persisch he heb hebrew hebräisch zh zho chi chinese chinesisch 中文 ja jpn japanese japanisch 日本語 ko kor korean koreanisch hi hin hindi th tha thai",
+}
+_LANGUAGE_OF = {n: k for k, names in LANGUAGE_NAMES.items() for n in names.split()}
+#: A letter of another script than Latin.
+NOT_LATIN = re.compile(r"[^\W\d_A-Za-zª-ɏḀ-ỿ]")
+
+
+def named_language(value: str | None) -> str | None:
+    """The language that a value of the language column names ('DE', 'de-DE', 'german'), None for others."""
+    words = WORD.findall(unicodedata.normalize("NFC", value).lower()) if isinstance(value, str) else []
+    return _LANGUAGE_OF.get(words[0]) if words else None
+
+
 def _word_langs() -> dict:
     if not _WORD_LANGS:
         found: dict[str, set[str]] = {}
@@ -101,19 +120,19 @@ def _word_langs() -> dict:
 
 
 def language(text: str) -> str | None:
-    """The language whose function words outweigh the others', 'other' for another script than Latin, None where nothing tells."""
+    """'other' where most letters are of another script than Latin, else the language whose function words outweigh the
+    others', None where nothing tells."""
     votes: dict[str, float] = {}
     table = _word_langs()
     low = text.lower()
-    if len(low) > LONG_TOKEN:
+    if len(low) > LONG_TOKEN and not (not low.isascii() and NOT_LATIN.search(low)):
         low = LONG.sub(" ", low)
+    if not low.isascii() and (n := len(NOT_LATIN.findall(low))) and 2 * n > sum(c.isalpha() for c in low):
+        return "other"
     for w in WORD.findall(low):
         for k, v in table.get(w, ()):
             votes[k] = votes.get(k, 0.0) + v
     if not votes:
-        letters = [c for c in low if c.isalpha()]
-        if letters and sum(ord(c) > 0x24F and not 0x1E00 <= ord(c) <= 0x1EFF for c in letters) > len(letters) / 2:
-            return "other"
         return None
     best = sorted(votes.values(), reverse=True)
     if len(best) > 1 and best[0] - best[1] < 0.34:
@@ -288,8 +307,9 @@ def is_copy(answer: str, query: str) -> bool:
     return tile_cover(a, q) >= COPY_COVER
 
 
-def other_language(answer: str, query: str) -> bool:
-    own = language(query)
+def other_language(answer: str, query: str, named: str | None = None) -> bool:
+    """Whether most of the answer is in another language than the query, or, where that doesn't tell, than the named one."""
+    own = language(query) or named_language(named)
     if own is None:
         return False
     mine = foreign = 0
@@ -440,8 +460,8 @@ def _item(item: str, peers: list[str]) -> tuple[str, str | None]:
     return ("whole", None) if item.endswith(")") else ("word", words[-1].lower())
 
 
-def judge(query: str | None, answer: str | None) -> tuple[str | None, str | None]:
-    """(defect or None, last word that decides about truncation or None) of a pair."""
+def judge(query: str | None, answer: str | None, named: str | None = None) -> tuple[str | None, str | None]:
+    """(defect or None, last word that decides about truncation or None) of a pair; named: its language column."""
     if is_empty(answer):
         return "empty", None
     query = query or ""
@@ -449,26 +469,26 @@ def judge(query: str | None, answer: str | None) -> tuple[str | None, str | None
         return "refusal", None
     if is_copy(answer, query):
         return "copy", None
-    if other_language(answer, query):
+    if other_language(answer, query, named):
         return "other_language", None
     kind, word = truncation(answer)
     return ("truncated", None) if kind == "cut" else (None, word)
 
 
 def defects(df: DataFrame, words_of: DataFrame | None = None, key: str = "record_uuid") -> DataFrame:
-    """(key, defect) of the defective pairs of df (key, query, answer), keys clean, one row per key.
+    """(key, defect) of the defective pairs of df (key, query, answer, language if there), keys clean, one row per key.
 
-    A null answer is empty; a null query can't be copied and has no language. Rows with a null or blank key are left
+    A null answer is empty; a null query can't be copied and has the language that the column names, if any. Rows with a null or blank key are left
     out; of a key's rows with different verdicts the first by name holds. words_of (by default df) gives the words that
     end items. An empty table gives no rows; extra columns are ignored.
     """
-    base = df.select(clean_key(key).alias(key), "query", "answer")
+    base = df.select(clean_key(key).alias(key), "query", "answer", F.col("language").cast("string").alias("language") if "language" in df.columns else F.lit(None).cast("string").alias("language"))
 
     own_words = words_of is None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = [judge(q, a) for q, a in zip(b["query"], b["answer"])]
+            got = [judge(q, a, k) for q, a, k in zip(b["query"], b["answer"], b["language"])]
             out = pd.DataFrame({key: b[key], "defect": [g[0] for g in got], "word": [g[1] for g in got]})
             yield out[out[key].notna() & (out["defect"].notna() | out["word"].notna())]
             if own_words:

@@ -194,7 +194,7 @@ def overlaps(df: DataFrame) -> DataFrame:
     t, e = member.where("train").select(F.col("cid").alias("t_cid"), F.col("record_uuid").alias("train_uuid")), member.where("NOT train").select(F.col("cid").alias("e_cid"), F.col("record_uuid").alias("eval_uuid"))
     pairs = persist_table(links.join(t, "t_cid").join(e, "e_cid").where("train_uuid <> eval_uuid").groupBy("train_uuid", "eval_uuid").agg(F.max("q_share").alias("query_containment"), F.max("a_share").alias("answer_containment")), "pairs")
     ids = pairs.select(F.col("train_uuid").alias("u")).unionAll(pairs.select("eval_uuid")).distinct()
-    judged = df.withColumn("u", clean_key("record_uuid")).join(ids, "u", "left_semi").select(F.col("u").alias("record_uuid"), "query", "answer")
+    judged = df.withColumn("u", clean_key("record_uuid")).join(ids, "u", "left_semi").select(F.col("u").alias("record_uuid"), "query", "answer", *[c for c in df.columns if c == "language"])
     broken = persist_table(defects(judged, words_of=df).select("record_uuid"), "broken")
     for side in ("train_uuid", "eval_uuid"):
         pairs = pairs.join(broken.withColumnRenamed("record_uuid", side), side, "left_anti")

@@ -76,3 +76,16 @@ def test_every_text_of_the_mix_has_a_slot(spark):
     for blocks in (3, 10, 40):
         rows = mix.mixed(docs, shares, blocks=blocks)[0].collect()
         assert {r.source for r in rows} == set("abcde") and all(r.slot is not None for r in rows)
+
+
+def test_language_of_undecided_queries_and_scripts(spark):
+    english = "The report from the town shows that the card works for commuters and that it is used by many of them."
+    greek = "Η κάρτα λειτουργεί πολύ καλά στην πόλη in Obertal και χρησιμοποιείται από πολλούς."
+    assert defects.judge("Kulturkarte Obertal 2014", english) == (None, None)
+    for named in ("de", " DE-de", "German", "deutsch"):
+        assert defects.judge("Kulturkarte Obertal 2014", english, named)[0] == "other_language"
+    assert defects.judge("Kulturkarte Obertal 2014", english, "en")[0] is defects.judge("Kulturkarte Obertal 2014", english, "?")[0] is None
+    assert defects.judge(Q, greek)[0] == defects.judge("Kulturkarte Obertal", greek, "de")[0] == "other_language"
+    assert defects.judge("Kulturkarte Obertal", greek, "el")[0] is None
+    df = spark.createDataFrame([("a", "Kulturkarte Obertal", english, "de"), ("b", "Kulturkarte Obertal", english, "EN"), ("c", None, english, "de")], PAIRS + ", language string")
+    assert {(r.record_uuid, r.defect) for r in defects.defects(df).collect()} == {("a", "other_language"), ("c", "other_language")}
