@@ -10,8 +10,8 @@ Each pair is judged once, in this order: empty, refusal, copy, other_language, t
 * other_language: scripts first, then function words of each sentence; the query's language is that of its own words or,
   where they don't tell, the one that the language column names; an answer is in another language when sentences of
   other languages outweigh those of the query's language.
-* truncated: a pushdown parser walks over fences, brackets, quotations, list items, table rows and markup; something that
-  is left open, a last line without the end that its kind demands, or an item that lacks parts its siblings have, tells
+* truncated: a pushdown parser walks over fences, brackets and German and French quotations (not over tags, emphasis, inline
+  code, other quotation signs, lists and tables, see the README); something that is left open, a last line without the end that its kind demands, or an item that lacks parts its siblings have, tells
   that the answer breaks off. Whether the last word of an item is a whole word is decided against the words of all
   answers in the table, the last ones of answers that may be cut left out: a word that never stands alone and begins
   another one was cut. A cut word that begins no other word of the table stays undetected.
@@ -336,7 +336,7 @@ UNENDING = re.compile(r"(?:^|\s)(?:z\.\s?b|d\.\s?h|u\.\s?a|bzw|ca|nr|abs|art|vgl
 
 
 def left_open(text: str) -> bool:
-    """A pushdown parser over fences, brackets and quotations: True where something is still open at the end."""
+    """A pushdown parser over fences, brackets and German and French quotations: True where something is still open at the end."""
     if text.count("```") % 2:
         return True
     stack: list[str] = []
