@@ -112,8 +112,8 @@ def related_records(rows: DataFrame, records: DataFrame) -> DataFrame:
 def deal(groups: DataFrame, shares=SHARES, buckets: int = 64) -> DataFrame:
     """(group_uuid, size, split) for groups (group_uuid, size): bands of size are dealt systematically, largest first.
 
-    Each band's shares are what the larger bands left open, so that one huge group doesn't shift the whole. A group's
-    place in its band comes from a hash; ranks are counted in `buckets` hash buckets a band, so no band is one task.
+    Each band's shares are what the larger bands left open, so that one huge group doesn't shift the whole. The groups
+    of a band of at most FEW go one by one, largest first, to the split with most room. In other bands a group's place comes from a hash; ranks are counted in `buckets` hash buckets a band, so no band is one task.
     """
     g = groups.withColumn("band", F.floor(F.log2("size")).cast("int")).withColumn("h", F.xxhash64("group_uuid")).withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
     stats = g.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight")).orderBy("band", "bucket").collect()  # at most 64 bands x buckets rows
@@ -122,27 +122,28 @@ def deal(groups: DataFrame, shares=SHARES, buckets: int = 64) -> DataFrame:
         n, w = bands.get(s.band, (0, 0))
         starts.append((s.band, s.bucket, n))
         bands[s.band] = (n + s.n, w + s.weight)
+    few = [b for b, (n, _) in bands.items() if n <= FEW]
+    roots = g.where(F.col("band").isin(few)).select("band", "group_uuid", "size").orderBy(F.desc("size"), "group_uuid").collect() if few else []  # at most 64 bands x FEW rows
     total = sum(w for _, w in bands.values())
-    left, edges = {k: p * total for k, p in shares}, []
+    left, edges, placed = {k: p * total for k, p in shares}, [], []
     for band in sorted(bands, reverse=True):
         n, w = bands[band]
         open_ = {k: max(v, 0.0) for k, v in left.items()}
         rest = sum(open_.values()) or 1.0
-        # a band with fewer roots than splits goes to the splits with the most room
         part = {k: v / rest for k, v in open_.items()}
         at, cuts = 0.0, []
         for k, _ in shares:
             at += part[k]
             cuts.append(at)
         edges.append((band, cuts))
-        got = {k: 0 for k in left}
-        if n <= 64:
-            for r in range(n):
-                got[_pick(r, cuts, shares)] += w / n
+        if n <= FEW:
+            for root in (x for x in roots if x.band == band):
+                k = max(left, key=left.get)
+                placed.append((root.group_uuid, k))
+                left[k] -= root.size
         else:
-            got = {k: part[k] * w for k in part}
-        for k in left:
-            left[k] -= got[k]
+            for k in left:
+                left[k] -= part[k] * w
     spark = groups.sparkSession
     starts_df = spark.createDataFrame(starts or [(0, 0, 0)], "band int, bucket int, start long")
     edges_df = spark.createDataFrame(edges or [(0, [1.0])], "band int, cuts array<double>")
@@ -155,13 +156,11 @@ def deal(groups: DataFrame, shares=SHARES, buckets: int = 64) -> DataFrame:
     split = F.lit(shares[-1][0])
     for i in range(len(shares) - 2, -1, -1):
         split = F.when(x < F.col("cuts")[i], F.lit(shares[i][0])).otherwise(split)
-    return g.select("group_uuid", "size", split.alias("split"))
+    placed_df = spark.createDataFrame(placed, "group_uuid string, placed string")
+    return g.join(F.broadcast(placed_df), "group_uuid", "left").select("group_uuid", "size", F.coalesce("placed", split).alias("split"))
 
 
 #: Steps of this length along the unit circle stay evenly spread at every count.
 GOLDEN = (5**0.5 - 1) / 2
-
-
-def _pick(r: int, cuts: list[float], shares) -> str:
-    x = ((r + 0.5) * GOLDEN) % 1
-    return next((k for (k, _), c in zip(shares, cuts) if x < c), shares[-1][0])
+#: Bands of at most so many groups are dealt one by one.
+FEW = 64

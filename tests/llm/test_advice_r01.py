@@ -89,3 +89,13 @@ def test_language_of_undecided_queries_and_scripts(spark):
     assert defects.judge("Kulturkarte Obertal", greek, "el")[0] is None
     df = spark.createDataFrame([("a", "Kulturkarte Obertal", english, "de"), ("b", "Kulturkarte Obertal", english, "EN"), ("c", None, english, "de")], PAIRS + ", language string")
     assert {(r.record_uuid, r.defect) for r in defects.defects(df).collect()} == {("a", "other_language"), ("c", "other_language")}
+
+
+def test_two_large_groups_leave_the_shares_in_reach(spark):
+    from annolytics.llm import related
+
+    g = spark.createDataFrame([("first", 300), ("second", 257)] + [(f"g{i}", 1) for i in range(443)], "group_uuid string, size long")
+    rows = related.deal(g).collect()
+    got = {k: sum(r.size for r in rows if r.split == k) for k, _ in related.SHARES}
+    assert len(rows) == 445 and {r.split for r in rows if r.size > 1} == {"train"}
+    assert abs(got["train"] - 800) <= 10 and abs(got["validation"] - 100) <= 10 and abs(got["test"] - 100) <= 10
