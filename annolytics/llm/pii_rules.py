@@ -1,7 +1,7 @@
-"""Exact shapes of personal information: labels for training the tagger, and the check that follows its spans.
+"""Word lists of the tagger, the check that follows its spans, and exact shapes that label its training texts.
 
-On their own these shapes find too much or, for names, nothing without a list of names; the tagger (pii.py) decides where
-something stands, the shapes where exactly it begins and ends.
+At run time only `composed` and `trimmed` work on texts: the tagger (pii.py) finds the spans and their limits, `trimmed`
+moves these to the edges of words and refuses what can't be of its kind. `shaped` gives labels to train on.
 """
 
 from __future__ import annotations
@@ -11,6 +11,21 @@ import unicodedata
 
 KINDS = ("email", "phone", "identity", "address", "name")
 
+# fixed values: function words, which begin no name even where they are capitalised
+FUNCTION_WORDS = """der die das den dem des ein eine einen einem einer eines und oder aber nicht mit von zu zum zur im in ist sind war wurde werden wird hat haben auf aus bei bis für über unter nach vor seit
+durch gegen ohne um als wie dass weil wenn auch sich es er sie wir ich nur noch mehr sowie was wer wo warum kann soll muss ihre ihr unser unsere kein keine davon dabei laut erst trotz gemeinsam rund offen
+the a an and or but not of to from on at by for is are was were be been has have had that this these those which what who how why when where it its they their he she we you while because if some only both
+le la les un une et ou mais ne pas avec pour par sur sous dans en au aux est sont ont que qui quoi où ce cette ces il elle ils elles nous vous je on se sa son ses leur leurs plus selon afin
+het een maar niet met voor naar aan uit om dat die dit deze wat wie welke hoe waarom zijn waren wordt werd heeft er ook zich ik wij zij hun haar dan te""".split()
+# fixed values: particles of family names
+PARTICLES = "von vom van zu zum zur de du des den dem der ten ter af di da del le la und y d'".split()
+# fixed values: forms of address and titles that are written small as well
+LOWER_TITLES = "mevrouw mevr meneer dhr monsieur madame mademoiselle prof dr med herr herrn frau".split()
+# fixed values: words for streets that stand behind the number
+STREET_WORDS_BEHIND = "rue avenue quai allée place boulevard chemin impasse cours route passage square sentier ruelle bis ter quater".split()
+# fixed values: spellings of the at-sign and the dot
+AT_WORDS, DOT_WORDS = "at ät arobase apenstaartje ad".split(), "dot punkt point punt".split()
+
 _B, _E = r"(?<![\w@.+\-/])", r"(?![\w@])"
 _AT = r"(?:\s?[@＠]\s?|\s?[(\[{<]\s?(?:at|ät|a|@)\s?[)\]}>]\s?|\s(?:at|ät|arobase|apenstaartje)\s)"
 _DOT = r"(?:\.|\s?[(\[{]\s?(?:dot|punkt|point|punt|\.)\s?[)\]}]\s?|\s(?:dot|punkt|point|punt)\s)"
@@ -110,47 +125,64 @@ def shaped(text: str) -> list[tuple[int, int, str]]:
             add(m.start("x"), m.end(), "address")
     return sorted(found)
 
-
-_NAME_WORD = r"[A-ZÄÖÜÀÂÉÈÊÎÔÇŞŁŽ][\w'’]*"
-_FAMILY = rf"{_NAME_WORD}(?:-{_NAME_WORD})*"
-_GAP = r"[ \t ]{1,3}"
-FULL_NAME = re.compile(rf"(?<![\w@.+\-])(?P<x>{_FAMILY}(?:{_GAP}[A-Z]\.)?(?:{_GAP}{PARTICLE}){{0,2}}{_GAP}{_FAMILY})(?![\w@\-])")
-TURNED_NAME = re.compile(rf"(?<![\w@.+\-])(?P<x>(?:{PARTICLE}{_GAP}){{0,2}}{_FAMILY},{_GAP}{_FAMILY})(?![\w@\-])")
-TITLED_NAME = re.compile(rf"(?<![\w@.+\-]){TITLE}(?:[\s\-]*{TITLE})*{_GAP}(?P<x>(?:{PARTICLE}{_GAP}){{0,2}}{_FAMILY})(?![\w@\-])")
-
-
-# fixed values: words that begin no name, though sentences and signatures begin with them
-_NO_NAME = frozenset("eine ein einer einem einen besonders bitte wie laut selon volgens according nach von mit für das die der den dem ihr ihre ihren unser unsere euer dear hallo hello bonjour madame monsieur guten good beste viele mit kind best tel mail fon stand ort top the a le la les de het een und and et en vgl siehe hinweis frage antwort team helpdesk redaktion sekretariat geschäftsstelle".split())
-ONE_NAME = re.compile(rf"(?:{PARTICLE}{_GAP}){{0,2}}{_FAMILY}(?![\w@\-])")
-
-
-def _plausible(name: str) -> bool:
-    words = [w for w in re.split(r"[\s,]+", name) if w[:1].isupper()]
-    return bool(words) and not any(w.lower() in _NO_NAME for w in words) and not words[0].isdigit()
-
-
-def name_near(text: str, a: int, b: int) -> tuple[int, int] | None:
-    """The exact shape of a name for the tagged range [a, b): one that begins where the range does, else the one that
-    overlaps it best. Titles, forms of address and words that begin no name are left out of it."""
-    for rx in (TURNED_NAME, FULL_NAME):
-        m = rx.match(text, a)
-        if m and m.end() >= min(b, m.end("x")) - 2 and not re.match(TITLE, m.group("x")) and _plausible(m.group("x")) and abs(m.end() - b) < 24:
-            return m.span("x")
-    m = ONE_NAME.match(text, a)
-    if m and _TITLE_END.search(text[max(0, a - 40) : a]) and not re.match(TITLE, m.group()) and _plausible(m.group()):
-        return m.span()
-    best, most = None, 0
-    for rx in (TURNED_NAME, FULL_NAME, TITLED_NAME):
-        for at in sorted({max(0, a - k) for k in range(40)}):
-            m = rx.match(text, at)
-            if not m:
-                continue
-            s, e = m.span("x")
-            t = re.match(rf"(?:{TITLE}[\s\-]*)+(?=[A-ZÄÖÜÉ])", text[s:e])
-            if t and rx is not TITLED_NAME:
-                continue
-            both = min(e, b) - max(s, a)
-            score = 4 * both - abs(s - a) - abs(e - b)
-            if both * 2 > b - a and score > most and _plausible(text[s:e]):
-                best, most = (s, e), score
-    return best
+# --- the check behind the tagger --------------------------------------------------------------------------------------
+_TITLES_AHEAD = re.compile(rf"(?:(?:{TITLE})[\s\-]*)+", re.I)
+_AT_SIGN = re.compile(r"[@＠]|[(\[{<]\s?(?:at|ät|a|@)\s?[)\]}>]|\s(?:at|ät|arobase|apenstaartje|ad)\s", re.I)
+_DATE = re.compile(r"\d{1,2}\.\d{1,2}\.\d{2,4}|\d{4}-\d\d-\d\d")
+_LINKS = "-'’‐‑"
+
+
+def _word_sign(c: str) -> bool:
+    return c.isalnum() or unicodedata.category(c)[0] == "M"
+
+
+def _to_words(text: str, a: int, b: int, extra: str) -> tuple[int, int]:
+    """The range without other signs at its ends, and grown to whole words (of letters, digits and the extra signs)."""
+    while a < b and not _word_sign(text[a]):
+        a += 1
+    while a < b and not _word_sign(text[b - 1]):
+        b -= 1
+    inside = lambda i: 0 <= i < len(text) and (_word_sign(text[i]) or text[i] in extra and 0 < i < len(text) - 1 and _word_sign(text[i - 1]) and _word_sign(text[i + 1]))
+    while a < b and inside(a - 1):
+        a -= 1
+    while a < b and inside(b):
+        b += 1
+    return a, b
+
+
+def trimmed(text: str, a: int, b: int, kind: str) -> tuple[int, int] | None:
+    """The span's limits at the edges of words, None where it can't be of its kind.
+
+    A name needs a capital and two words, or one behind a form of address; forms of address and titles at its beginning
+    are left out. A telephone number takes plus signs and brackets before it and needs five digits that aren't a date; an
+    identity number has seven signs, three of them digits; an address a letter and a digit; a mail address an at-sign,
+    however written, with something on either side."""
+    if kind == "phone":
+        while a < b and not (text[a].isdigit() or text[a] in "+("):
+            a += 1
+        while b > a and not text[b - 1].isdigit():
+            b -= 1
+        while a > 0 and (text[a - 1].isdigit() or text[a - 1] in "+("):
+            a -= 1
+        while b < len(text) and text[b].isdigit():
+            b += 1
+        return (a, b) if sum(c.isdigit() for c in text[a:b]) >= 5 and not _DATE.fullmatch(text[a:b]) else None
+    if kind == "email":
+        a, b = _to_words(text, a, b, ".+-_")
+        while a > 0 and text[a - 1] in "_-":
+            a -= 1
+        m = _AT_SIGN.search(text, a, b)
+        return (a, b) if m and m.start() > a and m.end() < b else None
+    a, b = _to_words(text, a, b, _LINKS)
+    if kind == "identity":
+        return (a, b) if b - a >= 7 and sum(c.isdigit() for c in text[a:b]) >= 3 else None
+    if kind == "address":
+        return (a, b) if any(c.isdigit() for c in text[a:b]) and sum(c.isalpha() for c in text[a:b]) > 1 else None
+    if m := _TITLES_AHEAD.match(text, a, b):
+        if m.end() < b:
+            a = m.end()
+    words = [w for w in re.split(r"[\s,]+", text[a:b]) if w]
+    capital = [w for w in words if w[0].isupper() or unicodedata.category(w[0]) == "Lt"]
+    if not capital or len(capital) == 1 and not _TITLE_END.search(text[max(0, a - 40) : a]):
+        return None
+    return a, b
