@@ -242,10 +242,10 @@ class Model:
         # one table for character and flag: its rows are the inputs to the gates
         self.table = np.stack([(p["emb"][k][None] + p["hint"][k][:, None]).reshape(-1, 4 * self.hidden) for k in range(2)])
         self.out = p["b"] + np.where(np.arange(self.tags) > 0, bias, 0).astype(np.float32)
-        # what a path may gain over "outside" by its transitions alone, at most
-        A, s = p["trans"], p["start"]
-        gain = lambda x: max(0.0, float(np.max(x)))
-        self.slack = gain(A[1:, 1:] - A[0, 0]) + max(gain(A[0, 1:] - A[0, 0]), gain(s[1:] - s[0])) + gain(A[1:, 0] - A[0, 0])
+        # what a path may gain over "outside" by a transition, at most: into a span, within one, out of one
+        A, first = p["trans"], p["start"]
+        self.into, self.within, self.out_of = (float(np.max(x - A[0, 0])) for x in (A[0, 1:], A[1:, 1:], A[1:, 0]))
+        self.begin = float(np.max(first[1:] - first[0]))
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
         """Scores (time, lane, tag) of input rows x (time, lane); row 0 stands for padding."""
@@ -274,31 +274,38 @@ class Model:
         return em.reshape(T, B, self.tags)
 
     def viterbi(self, em: np.ndarray) -> np.ndarray:
-        """Best tags (time, lane). Lanes where nothing can beat "outside" aren't walked."""
+        """Best tags (time, lane). Lanes where nothing can beat "outside" aren't walked: an upper bound of what any span
+        can gain is followed along them first, with all tags but "outside" taken as one."""
         T, B, K = em.shape
         out = np.zeros((T, B), np.uint8)
-        live = np.flatnonzero(((em[:, :, 1:].max(2) - em[:, :, 0]).max(0)) >= -self.slack)
+        margin = em[:, :, 1:].max(2) - em[:, :, 0]
+        gain = margin[0] + self.begin
+        most = np.maximum(gain + self.out_of, gain) if T == 1 else gain + self.out_of
+        for t in range(1, T):
+            np.maximum(gain + self.within, self.into, out=gain)
+            gain += margin[t]
+            np.maximum(most, gain + (self.out_of if t < T - 1 else max(self.out_of, 0.0)), out=most)
+        live = np.flatnonzero(most >= 0)
         if not len(live):
             return out
         e = np.ascontiguousarray(em[:, live].transpose(0, 2, 1))  # time, tag, lane
         A = self.p["trans"]
-        back = np.empty((T, K, len(live)), np.uint8)
-        score = e[0] + self.p["start"][:, None]
+        scores = np.empty_like(e)
+        scores[0] = e[0] + self.p["start"][:, None]
+        best, other = np.empty_like(e[0]), np.empty_like(e[0])
+        into = A[:, :, None]
         for t in range(1, T):
-            best = score[0][None] + A[0][:, None]
-            arg = np.zeros((K, len(live)), np.uint8)
+            np.add(scores[t - 1, 0], into[0], out=best)
             for k in range(1, K):
-                other = score[k][None] + A[k][:, None]
-                better = other > best
-                arg[better] = k
+                np.add(scores[t - 1, k], into[k], out=other)
                 np.maximum(best, other, out=best)
-            back[t] = arg
-            score = best + e[t]
-        path = score.argmax(0)
-        lanes = np.arange(len(live))
+            np.add(best, e[t], out=scores[t])
+        # the way back looks for the best step before only along the path
+        path = scores[T - 1].argmax(0)
         out[T - 1, live] = path
+        to = np.ascontiguousarray(A.T)
         for t in range(T - 1, 0, -1):
-            path = back[t, path, lanes]
+            path = (scores[t - 1].T + to[path]).argmax(1)
             out[t - 1, live] = path
         return out
 

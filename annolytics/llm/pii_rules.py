@@ -70,9 +70,12 @@ TITLE = r"(?:(?:Herrn|Herr|Frau|Fräulein|Madame|Monsieur|Mademoiselle|Mme|Mlle|
 _TITLE_END = re.compile(rf"(?:{TITLE}[\s\-]*)+$")
 
 
+_MARKS = re.compile(r"[\u0300-\u036f]")
+
+
 def composed(text: str) -> tuple[str, list[int] | None]:
     """The text with base signs and their marks joined, and where each of its signs began (None: nowhere else)."""
-    if not any("̀" <= c <= "ͯ" for c in text):
+    if text.isascii() or not _MARKS.search(text):
         return text, None
     out, at, i, n = [], [], 0, len(text)
     while i < n:
