@@ -10,13 +10,16 @@ Each pair is judged once, in this order: empty, refusal, copy, other_language, t
 * other_language: scripts first, then function words of each sentence; the query's language is that of its own words or,
   where they don't tell, the one that the language column names; an answer is in another language when sentences of
   other languages outweigh those of the query's language.
-* truncated: a pushdown parser walks over fences, brackets and German and French quotations (not over tags, emphasis, inline
-  code, other quotation signs, lists and tables, see the README); something that is left open, a last line without the end that its kind demands, or an item that lacks parts its siblings have, tells
-  that the answer breaks off. Whether the last word of an item is a whole word is decided against the words of all
-  answers in the table, the last ones of answers that may be cut left out: a word that never stands alone and begins
-  another one was cut. A cut word that begins no other word of the table stays undetected.
-
-Scale: one map over the rows, which also gives each batch's distinct words, then joins with the distinct words of all
+* truncated: a pushdown parser walks over the answer as it is stored: fences, inline code, tags, emphasis, brackets and
+  quotations of four languages are pushed and popped on one stack, and so is the unit at hand, a sentence, an item or a
+  row. What is left open at the end tells that the answer breaks off. Of a closed stack the last unit is judged: a row
+  by its bar and its number of cells, a sentence by its final sign (answers that use no final signs at all by their last
+  word), an item by its siblings: it lacks parts that all of them have, or, alone of its kind, has a form that no whole
+  item of the table has but that whole ones begin with. Whether the last word is a whole one is decided against the
+  words of all answers, the last ones of answers that may be cut left out: a word that never stands alone and begins
+  another one was cut. A cut word or form that begins no other of the table stays undetected.
+
+Scale: one map over the rows, which also gives each batch's distinct words and forms, then joins with those of all
 answers and with the beginnings of those that start like a word in question. No caps.
 """
 
@@ -58,11 +61,11 @@ DECLINE = re.compile(
     \b(?:kann|kannst|können|könnte|darf|dürfen|möchte|will|werde|vermag)\b.*\b(?:nicht|keine[nrms]?|nichts)\b.*\b(?:beantworten|antworten|helfen|weiterhelfen|äußern|auskunft|einschätzung|stellung|angaben?|informationen|sagen|geben|dienen|machen|mitteilen|beurteilen|bearbeiten)\b
   | \bgebe\s+ich\b.*\b(?:keine?n?|nicht)\b | \bich\b.*\b(?:weiß|habe|finde|verfüge|sehe)\b.*\b(?:nicht|keine[nrms]?|nichts)\b | \bhabe\s+ich\b.*\bkeine[nrms]?\b
   | \bliegen\b.*\b(?:mir|uns)\b.*\bkeine\b | \b(?:mir|uns)\b.*\b(?:fehlt|fehlen|unbekannt|unmöglich|nicht\s+(?:möglich|bekannt|erlaubt|gestattet))\b | \bfehlt\s+mir\b
-  | \b(?:auszüge|quellen|unterlagen|dokumente|textstellen|kontext|material)\b.*\b(?:nichts|keine[nrms]?|nicht)\b | \baußerhalb\s+dessen\b | \bals\s+(?:sprachmodell|ki|assistent)\b.*\bkeine?n?\b
+  | \b(?:auszüge|quellen|unterlagen|dokumente|textstellen|kontext|material)\b.*\b(?:nichts|keine[nrms]?|nicht)\b | \baußerhalb\s+dessen\b | \b(?:übersteigt|übersteigen)\b.*\b(?:wissen|kenntnisse|möglichkeiten|fähigkeiten|zuständigkeit)\b | \bkeine\s+ahnung\b | \bals\s+(?:sprachmodell|ki|assistent)\b.*\bkeine?n?\b
   | \b(?:i|we)\b.*(?:\b(?:cannot|unable|not\s+able|no\s+(?:information|answer|data|knowledge|access)|rather\s+not|prefer\s+not|not\s+(?:have|know|answer|comment|allowed|permitted))\b|(?:can|don|won|couldn|am|isn|aren)['’]t\b)
-  | \boutside\s+(?:what|of|my|the)\b | \b(?:excerpts?|sources?|documents?|passages?|context)\b.*\b(?:say|says|hold|holds|contain|contains|offer|give|gives|mention|mentions)\b.*\b(?:nothing|no|not)\b | \b(?:do|does)\s+not\s+(?:contain|mention|cover|say)\b | \bas\s+an?\s+(?:ai|language\s+model|assistant)\b
-  | \b(?:je|nous)\b.*\bne\b.*\b(?:pas|rien|aucun|aucune)\b | \bje\s+n['’].*\b(?:pas|rien|aucune?)\b | \bimpossible\s+de\b | \b(?:extraits?|sources?|documents?)\b.*\bn(?:e\b|['’]).*\b(?:pas|rien|aucune?)\b | \bpréfère\s+ne\s+pas\b | \ben\s+tant\s+que\s+modèle\b
-  | \b(?:ik|wij|we)\b.*\b(?:niet|geen|niets)\b | \bheb\s+ik\s+geen\b | \bkan\s+ik\b.*\b(?:niet|geen|niets)\b | \b(?:bronnen|fragmenten|documenten|passages)\b.*\b(?:niets|geen|niet)\b | \bals\s+taalmodel\b | \bbuiten\s+wat\b
+  | \boutside\s+(?:what|of|my|the)\b | \bbeyond\s+(?:my|our|what)\b | \bno\s+idea\b | \b(?:excerpts?|sources?|documents?|passages?|context)\b.*\b(?:say|says|hold|holds|contain|contains|offer|give|gives|mention|mentions)\b.*\b(?:nothing|no|not)\b | \b(?:do|does)\s+not\s+(?:contain|mention|cover|say)\b | \bas\s+an?\s+(?:ai|language\s+model|assistant)\b
+  | \b(?:je|nous)\b.*\bne\b.*\b(?:pas|rien|aucun|aucune)\b | \bje\s+n['’].*\b(?:pas|rien|aucune?)\b | \bimpossible\s+de\b | \b(?:extraits?|sources?|documents?)\b.*\bn(?:e\b|['’]).*\b(?:pas|rien|aucune?)\b | \bpréfère\s+ne\s+pas\b | \bdépass(?:e|ent)\b.*\b(?:connaissances|compétences|capacités)\b | \baucune\s+idée\b | \ben\s+tant\s+que\s+modèle\b
+  | \b(?:ik|wij|we)\b.*\b(?:niet|geen|niets)\b | \bheb\s+ik\s+geen\b | \bkan\s+ik\b.*\b(?:niet|geen|niets)\b | \b(?:bronnen|fragmenten|documenten|passages)\b.*\b(?:niets|geen|niet)\b | \bals\s+taalmodel\b | \bgaat\b.*\b(?:kennis|mogelijkheden)\b.*\bte\s+boven\b | \bgeen\s+idee\b | \bbuiten\s+wat\b
     """, re.I | re.X | re.S)
 # fixed values: sentences of courtesy, which carry no substance
 COURTESY = re.compile(
@@ -129,10 +132,12 @@ def language(text: str) -> str | None:
         low = LONG.sub(" ", low)
     if not low.isascii() and (n := len(NOT_LATIN.findall(low))) and 2 * n > sum(c.isalpha() for c in low):
         return "other"
+    told = False
     for w in WORD.findall(low):
         for k, v in table.get(w, ()):
             votes[k] = votes.get(k, 0.0) + v
-    if not votes:
+            told = told or len(w) > 1
+    if not told:  # single letters alone may be parts of words
         return None
     best = sorted(votes.values(), reverse=True)
     if len(best) > 1 and best[0] - best[1] < 0.34:
@@ -330,24 +335,78 @@ CITES = re.compile(r"(?:\s*(?:\[\d+(?:\s*[,;–-]\s*\d+)*\]|\(\d{1,3}\)|[¹²³
 NOTE = re.compile(r"\s+\([^()\n]{1,60}\)\s*$")
 # fixed values: a line that names a source
 SOURCE_LINE = re.compile(r"^\W*(?:quellen?|ref(?:erenz(?:en)?|erences?|s)?|sources?|bron(?:nen)?|vgl|siehe|see|voir|zie)\b\.?\s*:?.*$", re.I)
-FINAL, OPENERS, CLOSERS = ".!?。！？", "([{„«‚", {"(": ")", "[": "]", "{": "}", "„": "“”\"", "«": "»", "‚": "‘’'"}
+FINAL = ".!?。！？"
+BRACKETS = {"(": ")", "[": "]", "{": "}"}
+#: Quotation signs that only open, with what closes them; “ and " open where no other one is to be closed.
+QUOTES = {"„": "“”\"", "«": "»", "‚": "‘’'", "“": "”\"", '"': '"'}
+# fixed values: tags that needn't be closed
+OPEN_TAGS = frozenset("p li td tr th dt dd option br hr img input meta link wbr source col html body".split())
 # fixed values: short forms that can't end a sentence
 UNENDING = re.compile(r"(?:^|\s)(?:z\.\s?b|d\.\s?h|u\.\s?a|bzw|ca|nr|abs|art|vgl|inkl|ggf|sog|insb|dr|prof|e\.\s?g|i\.\s?e|vs|p\.\s?ex|bijv|mr|mrs|ms)\.$", re.I)
 
 
-def left_open(text: str) -> bool:
-    """A pushdown parser over fences, brackets and German and French quotations: True where something is still open at the end."""
-    if text.count("```") % 2:
-        return True
+_MARKS = re.compile(r"```|`|\*\*|__|<(/?)([A-Za-z][A-Za-z0-9]*)((?:\s[^<>]*)?)(/?)>|\n[ \t\r]*\n|\n|[(\[{)\]}„«»‚‘’'“”\"]")
+_TAG_BEGUN = re.compile(r"<(?:/?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?)?$|<!--(?:(?!-->).)*$", re.S)
+
+
+def left_open(text: str) -> list[str]:
+    """What a pushdown parser has on its stack at the end: fences, code, tags, emphasis, brackets, quotations.
+
+    Only a fence ends inside a fence, only a backtick inside code. A blank line ends code, emphasis, brackets and
+    quotations with straight signs, which don't reach over paragraphs; a closing sign without its opener is no error, one
+    that closes an outer level closes the inner ones with it."""
     stack: list[str] = []
-    for i, c in enumerate(text):
-        if c in OPENERS:
+
+    def close(what: str) -> bool:
+        if what in stack:
+            del stack[len(stack) - 1 - stack[::-1].index(what) :]
+            return True
+        return False
+
+    for m in _MARKS.finditer(text):
+        c, i = m.group(), m.start()
+        if "```" in stack:
+            if c == "```":
+                close("```")
+            continue
+        if c == "```":
+            stack.append(c)
+            continue
+        if c[0] == "\n":
+            if c.count("\n") > 1:
+                stack[:] = [s for s in stack if s in "„«“" or s[0] == "<"]
+            continue
+        if "`" in stack:
+            if c == "`":
+                close("`")
+            continue
+        before, behind = text[i - 1 : i] if i else "", text[m.end() : m.end() + 1]
+        if c == "`":
             stack.append(c)
-        elif stack and c in CLOSERS[stack[-1]]:
-            stack.pop()
-        elif c == "\n" and text[i : i + 2] == "\n\n":
-            stack = [s for s in stack if s in "„«"]  # brackets don't reach over a blank line, quotations may
-    return bool(stack)
+        elif c in ("**", "__"):
+            if not close(c) and behind.strip() and not (before.isalnum() and c == "__"):
+                stack.append(c)
+        elif c[0] == "<":
+            tag = m.group(2).lower()
+            if m.group(1):
+                close("<" + tag)
+            elif tag not in OPEN_TAGS and not m.group(4):
+                stack.append("<" + tag)
+        elif c in BRACKETS:
+            stack.append(c)
+        elif c in ")]}":
+            close({v: k for k, v in BRACKETS.items()}[c])
+        else:
+            opener = next((s for s in reversed(stack) if s in QUOTES and c in QUOTES[s]), None)
+            if opener and not (opener == "‚" and before.isalnum() and behind.isalnum()):
+                close(opener)
+            elif c in "„«‚":
+                stack.append(c)
+            elif c in "“\"" and not before.isalnum() and behind.strip():
+                stack.append(c)
+    if "`" not in stack and "```" not in stack and _TAG_BEGUN.search(text, max(0, text.rfind("<"))):
+        stack.append("<")
+    return stack
 
 
 def _stray_number(lines: list[str]) -> bool:
@@ -359,9 +418,13 @@ def _stray_number(lines: list[str]) -> bool:
     return not before or int(m.group(1)) != before[-1] + 1
 
 
+def _lines(text: str) -> list[str]:
+    return [x for x in text.rstrip().splitlines() if x.strip()]
+
+
 def _body(answer: str) -> tuple[list[str], list[str]]:
     """The answer's lines that aren't blank, up to the one that tells whether it breaks off, and those behind it."""
-    lines = [x for x in unicodedata.normalize("NFC", plain(answer)).rstrip().splitlines() if x.strip()]
+    lines = _lines(unicodedata.normalize("NFC", plain(answer)))
     end = len(lines)
     while end > 1 and (SOURCE_LINE.match(lines[end - 1]) and not BULLET.match(lines[end - 1]) or not CITES.sub("", lines[end - 1]).strip() or _stray_number(lines[:end])):
         end -= 1
@@ -372,36 +435,61 @@ def _body(answer: str) -> tuple[list[str], list[str]]:
 ALONE = re.compile(r"(?<!\w)[^\W\d_]++(?![\w\-‐‑])")
 
 
+#: In front of the form of an item, to tell it from words.
+FORM = "\u00b6"
+_FORM_TOKENS = re.compile(r"\d+(?:[.,\u00a0\u202f ]?\d+)*|[^\W\d_]+(?:[-'’/.&+][^\W\d_]+)*|\s[–—-]\s|[,;:()\[\]|/=%]")
+
+
+def form(item: str) -> str:
+    """The form of an item: w for words in a row, n for numbers, its separators and brackets as they are."""
+    out: list[str] = []
+    for t in _FORM_TOKENS.findall(item):
+        k = "n" if t[0].isdigit() else "–" if t[0].isspace() else t if not t[0].isalpha() else "w"
+        if k != "w" or out[-1:] != ["w"]:
+            out.append(k)
+    return "".join(out)
+
+
 def whole_words(answer: str | None, whole: bool) -> set[str]:
-    """The words of an answer in lower case that are surely whole: all but the last one where the answer may be cut."""
+    """The words of an answer in lower case that are surely whole, and the forms of its items that are: all but the last
+    one where the answer may be cut."""
     if not answer:
         return set()
     body, behind = _body(answer)
     words = ALONE.findall("\n".join(body))
     if words and not whole:
         words.pop()
-    return {w.lower() for w in words + ALONE.findall("\n".join(behind))}
+    forms = {FORM + form(BULLET.sub("", x).strip()) for x in (body if whole else body[:-1]) if BULLET.match(x)}
+    return {w.lower() for w in words + ALONE.findall("\n".join(behind))} | forms
+
 
+_SENTENCE_SIGN = re.compile(r"(?:[^\W\d_]|[\])\"”»%])[.!?。！？][\"'”“’»)\]*_]*(?:\s|$)")
 
-def truncation(answer: str) -> tuple[str, str | None]:
-    """('cut' | 'whole' | 'word', word): 'word' leaves the verdict to whether the returned last word is a whole one."""
-    lines, _ = _body(answer)
+
+def truncation(answer: str) -> tuple[str, tuple[str, ...]]:
+    """('cut' | 'whole' | 'ask', words): 'ask' leaves the verdict to whether each of the words (or the form) is a whole one."""
+    lines, behind = _body(answer)
     if not lines:
-        return "whole", None
-    if BARE_BULLET.match(lines[-1]):
-        return "cut", None
-    kept = "\n".join(lines)
-    if left_open(kept):
-        return "cut", None
+        return "whole", ()
+    stored = unicodedata.normalize("NFC", html.unescape(answer)).rstrip()
+    if left_open(stored) or BARE_BULLET.match(lines[-1]) and lines[-1].strip() != "```":
+        return "cut", ()
+    if behind and SOURCE_LINE.match(behind[-1]):
+        # the line that names a source may break off too
+        last = behind[-1].rstrip(" *_")
+        tail = WORD.findall(last.lower())
+        if last[-1:] in ",;:(–-&/" and len(tail) > 1 or len(tail) > 1 and tail[-1] in _word_langs():
+            return "cut", ()
     last = lines[-1].strip()
+    items = [x.strip() for x in lines if BULLET.match(x)]
     noted = NOTE.sub("", last)
-    if noted != last and noted and (noted[-1] in FINAL + "|" or CITES.search(noted) or BULLET.match(last) and _shape(noted)[2:] != (False, False)):
+    if noted != last and noted and (noted[-1] in FINAL + "|" or CITES.search(noted) or BULLET.match(last) and form(BULLET.sub("", noted)) in {form(BULLET.sub("", x)) for x in items[:-1]}):
         last = noted
     if last.startswith("|"):
         if not last.endswith("|"):
-            return "cut", None
+            return "cut", ()
         width = [x.count("|") for x in lines if x.strip().startswith("|")]
-        return ("cut" if width[-1] != max(set(width), key=width.count) else "whole"), None
+        return ("cut" if width[-1] != max(set(width), key=width.count) else "whole"), ()
     core = last
     while True:
         shorter = CITES.sub("", core).rstrip()
@@ -412,56 +500,42 @@ def truncation(answer: str) -> tuple[str, str | None]:
     ended = bare.rstrip("\"'”“’»)]*_ ")
     if ended and ended[-1] in FINAL:
         dots = re.search(r"\s*\.{2,}$", ended)
-        return ("cut" if UNENDING.search(ended) or dots and ended[: dots.start()][-1:] not in FINAL else "whole"), None
+        return ("cut" if UNENDING.search(ended) or dots and ended[: dots.start()][-1:] not in FINAL else "whole"), ()
     if not ended:
-        return "whole", None
+        return "whole", ()
     if ended[-1] in ",;:-–—/&+=(…‐":
-        return "cut", None
+        return "cut", ()
     m = BULLET.match(last)
     if not m:
-        return "cut", None
-    items = [x.strip() for x in lines if BULLET.match(x)]
+        words = WORD.findall(ended)
+        if _SENTENCE_SIGN.search("\n".join([*lines[:-1], ended])) or not words or words[-1].lower() in _word_langs():
+            return "cut", ()
+        return ("ask", (words[-1].lower(),)) if ALONE.findall(words[-1]) else ("whole", ())
     sign = m.group().strip()
     peers = [x for x in items[:-1] if BULLET.match(x).group().strip() == sign or sign[:1].isdigit()]
     return _item(bare[m.end() :].strip() if bare.startswith(last[: m.end()]) else bare, [BULLET.sub("", p) for p in peers])
 
 
-def _shape(item: str) -> tuple[bool, int, bool, bool]:
-    """Has a dash, number of commas before words, ends with a bracket, ends like 'number Word'."""
-    return (bool(re.search(r"\s[–—-]\s", item)), len(re.findall(r",\s", item)), item.endswith(")"), bool(re.search(r"\d\s+\w+$", item)))
-
-
-def _item(item: str, peers: list[str]) -> tuple[str, str | None]:
+def _item(item: str, peers: list[str]) -> tuple[str, tuple[str, ...]]:
     words = WORD.findall(item)
     if not words:
-        return "cut", None
-    sentences = [p for p in peers if p.rstrip("*_` ")[-1:] in FINAL]
-    if peers and len(sentences) > len(peers) / 2:
-        return "cut", None  # its siblings are sentences
+        return "cut", ()
+    if peers and sum(p.rstrip("*_` ")[-1:] in FINAL for p in peers) > len(peers) / 2:
+        return "cut", ()  # its siblings are sentences
     if words[-1].lower() in _word_langs() and not item.endswith(")"):
-        return "cut", None
-    mine = _shape(item)
-    alike = [s for s in map(_shape, peers) if s[0] == mine[0] and (mine[0] or s[1] > 0 or not mine[1])]
-    if not mine[0] and not mine[1]:
-        alike = [_shape(p) for p in peers]
-    parted = [s for s in map(_shape, peers) if s[0] or s[1]]
-    if not mine[0] and not mine[1] and (len(parted) == len(peers) if peers else len(words) == 1):
-        return "cut", None  # a bare word where the others have parts, or alone in its list
-    if alike:
-        if mine[0] and all(s[2] for s in alike) and not mine[2]:
-            return "cut", None
-        if not mine[0] and all(s[3] for s in alike if not s[0]) and any(not s[0] for s in alike) and not mine[3]:
-            return "cut", None
-        if mine[1] < min(s[1] for s in alike):
-            return "cut", None
-    elif (mine[0] and re.search(r"\s[–—-]\s*\w*$", item)) or (mine[1] and not mine[2] and not mine[3]):
-        # alone of its kind: a place after a dash wants its year, a listing its number and place
-        return "cut", None
-    return ("whole", None) if item.endswith(")") else ("word", words[-1].lower())
-
-
-def judge(query: str | None, answer: str | None, named: str | None = None) -> tuple[str | None, str | None]:
-    """(defect or None, last word that decides about truncation or None) of a pair; named: its language column."""
+        return "cut", ()
+    mine, others = form(item), [form(CITES.sub("", p).strip("*_` ")) for p in peers]
+    ask = () if item.endswith(")") or not ALONE.findall(words[-1]) else (words[-1].lower(),)
+    if mine in others:
+        return ("ask", ask) if ask else ("whole", ())
+    # a form that all siblings go on from
+    if others and all(o.startswith(mine) for o in others):
+        return "cut", ()
+    return "ask", (FORM + mine, *ask)
+
+
+def judge(query: str | None, answer: str | None, named: str | None = None) -> tuple[str | None, tuple[str, ...] | None]:
+    """(defect or None, words and form that decide about truncation) of a pair; named: its language column."""
     if is_empty(answer):
         return "empty", None
     query = query or ""
@@ -471,8 +545,8 @@ def judge(query: str | None, answer: str | None, named: str | None = None) -> tu
         return "copy", None
     if other_language(answer, query, named):
         return "other_language", None
-    kind, word = truncation(answer)
-    return ("truncated", None) if kind == "cut" else (None, word)
+    kind, words = truncation(answer)
+    return ("truncated", None) if kind == "cut" else (None, words or None)
 
 
 def defects(df: DataFrame, words_of: DataFrame | None = None, key: str = "record_uuid") -> DataFrame:
@@ -489,8 +563,8 @@ def defects(df: DataFrame, words_of: DataFrame | None = None, key: str = "record
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = [judge(q, a, k) for q, a, k in zip(b["query"], b["answer"], b["language"])]
-            out = pd.DataFrame({key: b[key], "defect": [g[0] for g in got], "word": [g[1] for g in got]})
-            yield out[out[key].notna() & (out["defect"].notna() | out["word"].notna())]
+            rows = [(k, d, w) for k, (d, words) in zip(b[key], got) if k is not None for w in ([None] if d else words or ())]
+            yield pd.DataFrame(rows, columns=[key, "defect", "word"], dtype=object)
             if own_words:
                 # rows without key: the words of the table
                 words = set().union(*(whole_words(a, g == (None, None)) for a, g in zip(b["answer"], got)))
@@ -498,7 +572,7 @@ def defects(df: DataFrame, words_of: DataFrame | None = None, key: str = "record
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"word": sorted(set().union(*(whole_words(a, bool(a) and truncation(a) == ("whole", None)) for a in b["answer"])))}, dtype=object)
+            yield pd.DataFrame({"word": sorted(set().union(*(whole_words(a, bool(a) and truncation(a) == ("whole", ())) for a in b["answer"])))}, dtype=object)
 
     # written once: the branches below read it
     judged = persist_table(base.mapInPandas(run, f"{key} string, defect string, word string"), "judged")
