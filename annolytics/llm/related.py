@@ -5,9 +5,10 @@ smallest edge, the chosen edges enter the spanning forest, which is written as a
 component its new root. Each round at least halves the components that still have an edge, and drops the edges inside
 one. Roots are put into bands of size (powers of two) and dealt systematically within each band.
 
-Scale: every step is a join or an aggregate with a map-side part; a document with a third of all edges is met only in
-aggregates (min) and joins whose small side is one row per node. Nothing but band totals (at most 64 rows) and counts
-comes to the driver.
+Scale: every step is a join or an aggregate with a map-side part. A document with a third of all edges, and later the
+root of a component that holds a third of all nodes, is a hot key: joins of many rows with one row per node or root
+broadcast that side where it is small, and beyond join hot keys apart (join_unique). Tables that a later round replaces
+are deleted. Nothing but band totals (at most 64 rows a band), hot keys (below 1,000) and counts comes to the driver.
 """
 
 from __future__ import annotations
@@ -15,61 +16,76 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolytics.session import persist_table
+from annolytics.operators.joins import join_unique
+from annolytics.session import forget, persist_table
 
 SHARES = (("train", 0.8), ("validation", 0.1), ("test", 0.1))
 CHUNK = r"^(.+)-c\d+$"
 
 
 def _roots(parent: DataFrame) -> DataFrame:
-    """(node, root) of a forest given as (node, parent), roots pointing to themselves: pointer jumping to the fixed point."""
+    """(node, root) of a forest given as a written table (node, parent), roots pointing to themselves: pointer jumping,
+    which halves every path in a round, to the fixed point."""
     while True:
-        a, b = parent.alias("a"), parent.select(F.col("node").alias("p_node"), F.col("parent").alias("p_parent"))
-        jumped = persist_table(a.join(b, F.col("a.parent") == F.col("p_node")).select("a.node", F.col("p_parent").alias("parent"), (F.col("a.parent") != F.col("p_parent")).alias("moved")), "jump")
+        up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
+        jumped = persist_table(join_unique(parent.select("node", "parent"), up, "parent").select("node", F.col("above").alias("parent"), (F.col("parent") != F.col("above")).alias("moved")), "jump")
         moved = jumped.where("moved").limit(1).count()
-        parent = jumped.select("node", "parent")
+        forget(parent)
+        parent = jumped
         if not moved:
-            return parent.withColumnRenamed("parent", "root")
+            return parent
 
 
-def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _hashed(e: DataFrame, wide: bool) -> tuple[DataFrame, DataFrame]:
+    """(edges with the ids of their ends, names of the ids); wide: ids of 128 bits."""
+    make = (lambda c: F.unhex(F.md5(c))) if wide else F.xxhash64
+    e = persist_table(e.select(make("a").alias("ca"), make("b").alias("cb"), "a", "b"), "edges")
+    end = lambda i, n: F.struct(F.col(i).alias("id"), F.col(n).alias("node"))
+    return e, persist_table(e.select(F.explode(F.array(end("ca", "a"), end("cb", "b"))).alias("x")).select("x.*").distinct(), "names")
+
+
+def spanning_forest(edges: DataFrame, wide: bool = False) -> tuple[DataFrame, DataFrame]:
     """(labels, forest) of the edges (a, b): labels has a row (node, root) for each node, forest the chosen edges (a, b).
 
     Null ends are dropped, as are loops and repeated edges. Nodes are strings; equal strings are one node, so the two
-    sides of a bipartite graph need different prefixes. An empty table gives two empty ones.
+    sides of a bipartite graph need different prefixes. An empty table gives two empty ones. Components are named by
+    64-bit ids; where two nodes share one, as happens among billions, or wide is set, by ids of 128 bits.
     """
     e = edges.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    e = e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    e = persist_table(e.select(F.xxhash64("a").alias("ca"), F.xxhash64("b").alias("cb"), "a", "b"), "edges")
-    # components are named by 64-bit ids; names is the way back
-    names = persist_table(e.select(F.explode(F.array(F.struct(F.col("ca").alias("id"), F.col("a").alias("node")), F.struct(F.col("cb").alias("id"), F.col("b").alias("node")))).alias("x")).select("x.*").distinct(), "names")
-    if names.count() != names.select("id").distinct().count():
-        raise ValueError("two nodes share a 64-bit id; give the nodes other names")
-    labels, forest = names.select("id", F.col("id").alias("root")), None
+    distinct = persist_table(e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "distinct")
+    e, names = _hashed(distinct, wide)
+    if not wide and names.count() != names.select("id").distinct().count():
+        forget(e, names)
+        e, names = _hashed(distinct, True)
+    labels, forest, parts = names.select("id", F.col("id").alias("root")), None, []
     while True:
         weight = F.struct(F.xxhash64("a", "b").alias("w"), "a", "b")
-        ends = e.select(F.col("ca").alias("c"), F.col("cb").alias("d"), weight.alias("e")).unionAll(e.select(F.col("cb").alias("c"), F.col("ca").alias("d"), weight.alias("e")))
-        best = ends.groupBy("c").agg(F.min(F.struct("e", "d")).alias("m"))
+        ends = e.select(F.explode(F.array(F.struct(F.col("ca").alias("c"), F.col("cb").alias("d")), F.struct(F.col("cb").alias("c"), F.col("ca").alias("d")))).alias("x"), weight.alias("e"))
+        best = ends.groupBy("x.c").agg(F.min(F.struct("e", "x.d")).alias("m"))
         best = persist_table(best.select("c", "m.d", F.col("m.e.a").alias("a"), F.col("m.e.b").alias("b")), "best")
         if best.isEmpty():
             break
+        parts.append(best)
         chosen = best.select("a", "b").distinct()
         forest = chosen if forest is None else forest.unionAll(chosen)
         # the smallest edge of two components that chose each other closes the only cycle; its smaller end is the root
-        back = best.select(F.col("c").alias("d"), F.col("d").alias("c2"), F.lit(True).alias("x"))
-        parent = best.join(back, "d", "left").groupBy("c").agg(F.first("d").alias("d"), F.bool_or(F.coalesce(F.col("c2") == F.col("c"), F.lit(False))).alias("mutual"))
-        parent = parent.select(F.col("c").alias("node"), F.when(F.col("mutual") & (F.col("c") < F.col("d")), F.col("c")).otherwise(F.col("d")).alias("parent"))
-        root = _roots(persist_table(parent, "parent"))
-        to = root.select(F.col("node"), F.col("root").alias("r"))
-        labels = persist_table(labels.join(to, labels.root == to.node, "left").select("id", F.coalesce("r", "root").alias("root")), "labels")
-        ra, rb = to.select(F.col("node").alias("ca"), F.col("r").alias("ra")), to.select(F.col("node").alias("cb"), F.col("r").alias("rb"))
+        back = best.select(F.col("c").alias("d"), F.col("d").alias("back"))
+        parent = join_unique(best.select("c", "d"), back, "d", "left")
+        root = _roots(persist_table(parent.select(F.col("c").alias("node"), F.when((F.col("back") == F.col("c")) & (F.col("c") < F.col("d")), F.col("c")).otherwise(F.col("d")).alias("parent")), "parent"))
+        n = root.count()
+        new = persist_table(join_unique(labels, root.select(F.col("node").alias("root"), F.col("parent").alias("r")), "root", "left", n_small=n).select("id", F.coalesce("r", "root").alias("root")), "labels")
+        ra, rb = root.select(F.col("node").alias("ca"), F.col("parent").alias("ra")), root.select(F.col("node").alias("cb"), F.col("parent").alias("rb"))
         # of parallel edges between two components only the smallest can be chosen later
-        e = e.join(ra, "ca").join(rb, "cb").where("ra <> rb").select(F.least("ra", "rb").alias("ca"), F.greatest("ra", "rb").alias("cb"), "a", "b")
-        e = persist_table(e.groupBy("ca", "cb").agg(F.min(F.struct(F.xxhash64("a", "b").alias("w"), "a", "b")).alias("e")).select("ca", "cb", "e.a", "e.b"), "edges")
+        x = join_unique(join_unique(e, ra, "ca", n_small=n), rb, "cb", n_small=n).where("ra <> rb").select(F.least("ra", "rb").alias("ca"), F.greatest("ra", "rb").alias("cb"), "a", "b")
+        less = persist_table(x.groupBy("ca", "cb").agg(F.min(F.struct(F.xxhash64("a", "b").alias("w"), "a", "b")).alias("e")).select("ca", "cb", "e.a", "e.b"), "edges")
+        forget(e, labels, root)
+        e, labels = less, new
     out = labels.join(names, "id").select("node", "root")
     if forest is None:
         forest = names.sparkSession.createDataFrame([], "a string, b string")
-    return out, persist_table(forest, "forest")
+    forest = persist_table(forest, "forest")
+    forget(e, best, distinct, *parts)
+    return out, forest
 
 
 def source_edges(rows: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -105,18 +121,19 @@ def related_records(rows: DataFrame, records: DataFrame) -> DataFrame:
     labels, _ = spanning_forest(edges)
     own = labels.where("node LIKE 'r:%'").select(F.substring("node", 3, 1 << 20).alias("record_uuid"), "root")
     groups = own.groupBy("root").agg(F.min("record_uuid").alias("group_uuid"), F.count(F.lit(1)).alias("size"))
-    found = own.join(groups, "root").select("record_uuid", "group_uuid", "size")
+    groups = persist_table(groups, "groups")
+    found = join_unique(own, groups, "root").select("record_uuid", "group_uuid", "size")
     return ids.join(found, "record_uuid", "left").select("record_uuid", F.coalesce("group_uuid", "record_uuid").alias("group_uuid"), F.coalesce("size", F.lit(1)).cast("bigint").alias("size"))
 
 
-def deal(groups: DataFrame, shares=SHARES, buckets: int = 64) -> DataFrame:
+def deal(groups: DataFrame, shares=SHARES, buckets: int = 1024) -> DataFrame:
     """(group_uuid, size, split) for groups (group_uuid, size): bands of size are dealt systematically, largest first.
 
     Each band's shares are what the larger bands left open, so that one huge group doesn't shift the whole. The groups
     of a band of at most FEW go one by one, largest first, to the split with most room. In other bands a group's place comes from a hash; ranks are counted in `buckets` hash buckets a band, so no band is one task.
     """
     g = groups.withColumn("band", F.floor(F.log2("size")).cast("int")).withColumn("h", F.xxhash64("group_uuid")).withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
-    stats = g.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight")).orderBy("band", "bucket").collect()  # at most 64 bands x buckets rows
+    stats = g.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight")).orderBy("band", "bucket").collect()  # at most 64 bands x buckets rows, and no more than groups
     bands, starts = {}, []
     for s in stats:
         n, w = bands.get(s.band, (0, 0))

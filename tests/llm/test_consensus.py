@@ -42,3 +42,26 @@ def test_no_votes(spark):
     for kw in ({}, {"one_task": 0}):
         items, ann = C.consensus(spark.createDataFrame([], COLS), **kw)
         assert items.count() == 0 and ann.count() == 0
+
+
+def test_forest_with_wide_ids_and_hot_keys(spark, monkeypatch):
+    from annolytics.llm import related
+
+    rnd = random.Random(4)
+    edges = [(f"r:{i}", "d:hot") for i in range(300)] + [(f"r:{rnd.randrange(900)}", f"d:{rnd.randrange(700)}") for _ in range(800)] + [(f"p:{i}", f"p:{i + 1}") for i in range(120)]
+    df = spark.createDataFrame(edges, "a string, b string")
+
+    def groups(labels):
+        out = {}
+        for r in labels.collect():
+            out.setdefault(bytes(r.root) if not isinstance(r.root, int) else r.root, set()).add(r.node)
+        return sorted(map(sorted, out.values()))
+
+    labels, forest = related.spanning_forest(df)
+    want = groups(labels)
+    nodes = sum(map(len, want))
+    assert forest.count() == nodes - len(want)
+    real = related.join_unique
+    monkeypatch.setattr(related, "join_unique", lambda *a, **k: real(*a, **{**k, "limit": 20}))
+    labels, forest = related.spanning_forest(df, wide=True)
+    assert groups(labels) == want and forest.count() == nodes - len(want)
