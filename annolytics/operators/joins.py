@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of the unique side up to which it is broadcast (some 30 MB for two ids a row).
-MAX_BROADCAST = 500_000
+#: Rows of the unique side up to which it is broadcast (some 6 MB for two ids a row).
+MAX_BROADCAST = 100_000
 #: A key with more than this part of the rows of the other side is joined apart; so there are fewer than 1 / HOT of them.
 HOT = 1 / 1000
 
