@@ -70,9 +70,12 @@ def plan(sizes: dict[str, int], targets: list[tuple[str, float, int]], total: in
     return {s: min(int(shares[s] * total + 0.5), caps[s]) for s in shares}
 
 
-def mixed(docs: DataFrame, targets: DataFrame, total: int | None = None, blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame]:
+def mixed(docs: DataFrame, targets: DataFrame, total: int | None = None, blocks: int = BLOCKS, least_use: float = LEAST_USE) -> tuple[DataFrame, DataFrame]:
     """(texts, report) for docs (doc_id, source, n_tokens) and targets (source, target_share, max_repeats).
 
+    Without a total, the mix is as large as every source's share allows, but uses least_use of the tokens at hand at
+    least: below that, sources that are too small stay below their shares, which the report shows (0 keeps all shares).
+
     texts: source, doc_id, use_no (from 1), n_tokens, slot, position (within the block); a text is used as often as
     it begins within its source's quota, so a source exceeds its quota by less than one text. Order: slot, source,
     position. report: one row per target: source, target_share, max_repeats, available_tokens, planned_tokens,
@@ -94,7 +97,7 @@ def mixed(docs: DataFrame, targets: DataFrame, total: int | None = None, blocks:
     for r in sums:
         starts.append((r.source, r.bucket, sizes.get(r.source, 0)))
         sizes[r.source] = sizes.get(r.source, 0) + r.n
-    quota = plan(sizes, rows, total)
+    quota = plan(sizes, rows, total, least_use)
     all_tokens = sum(quota.values())
     block = max(1, math.ceil(all_tokens / blocks))
     need = {s: -(-q // block) for s, q in quota.items()}

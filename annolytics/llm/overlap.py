@@ -5,8 +5,8 @@ of the longer one are matched by words of the other, order, case, accents, punct
 as 32-bit hashes of (word, how often it occurred before in the text), so a multiset of words is a plain set; the chance
 that a collision lifts a pair of 50 words over the limit is below one in a million.
 
-Candidates come from hashes of word n-grams. Since order doesn't count, an n-gram is taken over the words sorted from
-rare to frequent: two sets that share ALPHA of the words of the longer one share at least n words among their first
+Candidates come from hashes of word n-grams. Since order doesn't count, these aren't n-grams of the running text: an
+n-gram is a set of n words among the rarest ones of a text, that is, prefix filtering with pairs of words: two sets that share ALPHA of the words of the longer one share at least n words among their first
 size - ceil(SHARE * size) + n, so every set of n of those words is hashed, and no overlapping pair can be missed. n is 2;
 for very short and very long queries, where there are too few or too many such sets, n is 1. The evaluation side's
 hashes are partitioned together with the training side's, never broadcast. Each hash carries the query's size and a
@@ -184,18 +184,55 @@ def linked_classes(r: DataFrame) -> DataFrame:
     return found.select("t_cid", "e_cid", "q_share", (F.size(F.array_intersect("ta", "ea")) / F.size("ea")).alias("a_share"))
 
 
+def _members(r: DataFrame) -> DataFrame:
+    return r.select("cid", "train", "record_uuid").distinct()
+
+
+def _broken(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """(u): those of the records `ids` (u) that have a defect, written as a table."""
+    judged = df.withColumn("u", clean_key("record_uuid")).join(ids, "u", "left_semi").select(F.col("u").alias("record_uuid"), "query", "answer", *[c for c in df.columns if c == "language"])
+    return persist_table(defects(judged, words_of=df).select(F.col("record_uuid").alias("u")), "broken")
+
+
 def overlaps(df: DataFrame) -> DataFrame:
     """(train_uuid, eval_uuid, query_containment, answer_containment) of every pair of a training record and one of
     another split that overlap. Records with a defect don't count; repeated rows count once; null texts never overlap;
     rows with a null split or key are left out. An empty table gives no rows; extra columns are ignored."""
     r = persist_table(read(df), "words")
     links = linked_classes(r)
-    member = r.select("cid", "train", "record_uuid").distinct()
+    member = _members(r)
     t, e = member.where("train").select(F.col("cid").alias("t_cid"), F.col("record_uuid").alias("train_uuid")), member.where("NOT train").select(F.col("cid").alias("e_cid"), F.col("record_uuid").alias("eval_uuid"))
     pairs = persist_table(links.join(t, "t_cid").join(e, "e_cid").where("train_uuid <> eval_uuid").groupBy("train_uuid", "eval_uuid").agg(F.max("q_share").alias("query_containment"), F.max("a_share").alias("answer_containment")), "pairs")
-    ids = pairs.select(F.col("train_uuid").alias("u")).unionAll(pairs.select("eval_uuid")).distinct()
-    judged = df.withColumn("u", clean_key("record_uuid")).join(ids, "u", "left_semi").select(F.col("u").alias("record_uuid"), "query", "answer", *[c for c in df.columns if c == "language"])
-    broken = persist_table(defects(judged, words_of=df).select("record_uuid"), "broken")
+    broken = _broken(df, pairs.select(F.col("train_uuid").alias("u")).unionAll(pairs.select("eval_uuid")).distinct())
     for side in ("train_uuid", "eval_uuid"):
-        pairs = pairs.join(broken.withColumnRenamed("record_uuid", side), side, "left_anti")
+        pairs = pairs.join(broken.withColumnRenamed("u", side), side, "left_anti")
     return pairs.select("train_uuid", "eval_uuid", "query_containment", "answer_containment")
+
+
+def overlap_counts(df: DataFrame) -> DataFrame:
+    """(eval_uuid, n_pairs, answer_containment) of the evaluation records that overlap with training: the number of
+    training records and the greatest containment, as `overlaps` has them, without pairing the members of linked classes:
+    a class counts with the number of its training records. Only records that stand in several classes, delivered again
+    with other texts, are paired, to count no pair twice."""
+    r = persist_table(read(df), "words")
+    links = persist_table(linked_classes(r), "classes")
+    member = _members(r)
+    met = links.select(F.col("t_cid").alias("cid")).unionAll(links.select("e_cid")).distinct()
+    member = persist_table(member.join(met, "cid", "left_semi"), "members")
+    broken = _broken(df, member.select(F.col("record_uuid").alias("u")).distinct())
+    member = member.join(broken.withColumnRenamed("u", "record_uuid"), "record_uuid", "left_anti")
+    t, e = member.where("train").select(F.col("cid").alias("t_cid"), F.col("record_uuid").alias("train_uuid")), member.where("NOT train").select(F.col("cid").alias("e_cid"), F.col("record_uuid").alias("eval_uuid"))
+    sizes = t.groupBy("t_cid").agg(F.count(F.lit(1)).alias("n"))
+    # per evaluation class first, however many members it has
+    per_class = links.join(sizes, "t_cid").groupBy("e_cid").agg(F.sum("n").alias("n"), F.max("a_share").alias("c"))
+    counts = e.join(per_class, "e_cid").groupBy("eval_uuid").agg(F.sum("n").alias("n"), F.max("c").alias("answer_containment"))
+    several = member.groupBy("record_uuid").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("record_uuid")
+    once = lambda d, c: d.join(several.withColumnRenamed("record_uuid", c), c, "left_semi")
+    rest = lambda d, c: d.join(several.withColumnRenamed("record_uuid", c), c, "left_anti")
+    part = lambda a, b: links.join(a, "t_cid").join(b, "e_cid").select("train_uuid", "eval_uuid")
+    twice = part(once(t, "train_uuid"), e).unionAll(part(rest(t, "train_uuid"), once(e, "eval_uuid")))
+    # of these pairs every one beyond the first, and every record paired with itself, is taken off
+    twice = twice.groupBy("eval_uuid", "train_uuid").agg(F.count(F.lit(1)).alias("k"))
+    off = twice.groupBy("eval_uuid").agg(F.sum(F.col("k") - (F.col("train_uuid") != F.col("eval_uuid")).cast("int")).alias("off"))
+    n = F.col("n") - F.coalesce("off", F.lit(0))
+    return counts.join(off, "eval_uuid", "left").select("eval_uuid", n.alias("n_pairs"), "answer_containment").where("n_pairs > 0")

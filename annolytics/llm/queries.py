@@ -18,7 +18,7 @@ def p1_found(spark, sf_dir):
 def p1_report(spark, sf_dir):
     """Per split and source_domain of the evaluation side: its records, those that overlap with training, and the pairs."""
     q = table(spark, sf_dir, "qa_records").select(clean_key("record_uuid").alias("eval_uuid"), clean_key("split").alias("split"), "source_domain").where("split <> 'train'").dropDuplicates(["eval_uuid"])
-    p = overlap.overlaps(table(spark, sf_dir, "qa_records")).groupBy("eval_uuid").agg(F.count(F.lit(1)).alias("n"), F.max("answer_containment").alias("c"))
+    p = overlap.overlap_counts(table(spark, sf_dir, "qa_records")).select("eval_uuid", F.col("n_pairs").alias("n"), F.col("answer_containment").alias("c"))
     return q.join(p, "eval_uuid", "left").groupBy("split", "source_domain").agg(F.count(F.lit(1)).alias("n_records"), F.count("n").alias("n_overlapping"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs"), F.round(F.avg("c"), 6).alias("mean_containment"))
 
 
