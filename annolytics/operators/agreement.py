@@ -6,6 +6,10 @@ are pairable. Pooled figures are computed over the pooled counts, never as means
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +28,33 @@ def alpha(counts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return a.select(*keys, "n_items", F.col("N").cast("bigint").alias("n_ratings"), (de == 0).alias("degenerate"), F.round(F.when(de == 0, F.lit(1.0)).otherwise(1 - F.col("d") / F.col("N") / de), 6).alias("alpha"))
 
 
+def alpha_interval(counts: DataFrame, keys: tuple[str, ...], resamples: int = 1000, seed: int = 0, level: float = 0.95) -> DataFrame:
+    """A5: keys, n_items, alpha, ci_lower, ci_upper: percentile bounds of alpha under a bootstrap of the pairable items.
+
+    alpha depends on an item only by its n and k, so items are counted by these first, and a resample of all items is one
+    multinomial draw over the few classes: the work doesn't grow with the items. Draws are seeded by seed and keys,
+    whatever the partitioning. A resample without variance counts as 1, like alpha itself. Keys without pairable items
+    have no row."""
+    classes = counts.where("n >= 2").groupBy(*keys, "n", "k").agg(F.count(F.lit(1)).alias("c"))
+
+    def run(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
+        x = x.sort_values(["n", "k"])
+        n, k, c = (x[i].to_numpy(float) for i in ("n", "k", "c"))
+        draws = np.random.default_rng([seed, zlib.crc32(repr(key).encode())]).multinomial(int(c.sum()), c / c.sum(), resamples)
+        both = []
+        for m in (c[None], draws):
+            total, true = m @ n, m @ k
+            expected = 2 * true * (total - true) / (total * (total - 1))
+            observed = m @ (2 * k * (n - k) / (n - 1)) / total
+            both.append(np.where(expected == 0, 1.0, 1 - observed / np.where(expected == 0, 1, expected)))
+        lo = (1 - level) / 2
+        return pd.DataFrame([[*key, int(c.sum()), both[0][0], *np.quantile(both[1], [lo, 1 - lo])]], columns=[*keys, "n_items", "alpha", "ci_lower", "ci_upper"])
+
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in counts.select(*keys).schema)
+    out = classes.groupBy(*keys).applyInPandas(run, f"{types}, n_items bigint, alpha double, ci_lower double, ci_upper double")
+    return out.select(*keys, "n_items", *[F.round(c, 6).alias(c) for c in ("alpha", "ci_lower", "ci_upper")])
+
+
 def percent_agreement(counts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Mean over pairable items of the share of agreeing pairs."""
     n, k = F.col("n"), F.col("k")

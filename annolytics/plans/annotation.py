@@ -127,21 +127,30 @@ def drop_wholly_calibration(spark, d):
     return C.drop_wholly_calibration(retrieval(spark, d)).groupBy("record_uuid").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("calibration").alias("n_calibration"))
 
 
-def _ratings(spark, d):
-    """(source_domain, label, record_uuid, chunk_id, annotator_id, value): one rating per annotator, item and label."""
-    s = ret_sub(spark, d).groupBy("record_uuid", "chunk_id", "annotator_id").agg(F.max(F.struct("inserted_at", *[F.col(c).cast("int").alias(c) for c in RET])).alias("m"))
+def _ratings(spark, d, calibration: bool = True):
+    """(source_domain, label, record_uuid, chunk_id, annotator_id, value): one rating per annotator, item and label.
+
+    Agreement describes calibration rows only, the ones that several annotators share; calibration=False takes all."""
+    s = ret_sub(spark, d)
+    if calibration:
+        s = s.where("calibration")
+    s = s.groupBy("record_uuid", "chunk_id", "annotator_id").agg(F.max(F.struct("inserted_at", *[F.col(c).cast("int").alias(c) for c in RET])).alias("m"))
     dom = table(spark, d, "qa_records").select(clean_key("record_uuid").alias("record_uuid"), "source_domain").groupBy("record_uuid").agg(F.min("source_domain").alias("source_domain"))
     s = s.select("record_uuid", "chunk_id", "annotator_id", *[F.col(f"m.{c}").alias(c) for c in RET]).join(dom, "record_uuid")
     return K.melt(s, ("source_domain", "record_uuid", "chunk_id", "annotator_id"), RET)
 
 
-_RATE = f"""WITH {R_SQL}, {SUB_R},
-lt AS (SELECT *, row_number() OVER (PARTITION BY record_uuid, chunk_id, annotator_id ORDER BY inserted_at DESC, {", ".join(c + " DESC" for c in RET)}) AS rn FROM rs),
+def rate_sql(calibration: bool = True) -> str:
+    return f"""WITH {R_SQL}, {SUB_R},
+lt AS (SELECT *, row_number() OVER (PARTITION BY record_uuid, chunk_id, annotator_id ORDER BY inserted_at DESC, {", ".join(c + " DESC" for c in RET)}) AS rn FROM rs {"WHERE calibration" if calibration else ""}),
 dom AS (SELECT {key("record_uuid")} AS record_uuid, min(source_domain) AS source_domain FROM qa_records GROUP BY 1),
 w AS (SELECT lt.*, source_domain FROM lt JOIN dom USING (record_uuid) WHERE rn = 1),
 ra AS ({" UNION ALL ".join(f"SELECT source_domain, '{c}' AS label, record_uuid, chunk_id, annotator_id, {c}::INT AS value FROM w" for c in RET)})"""
 
 
+_RATE = rate_sql()
+
+
 def _alpha_sql(keys: str) -> str:
     return f"""{_RATE}, ic AS (SELECT {keys}, record_uuid, chunk_id, count(*)::DOUBLE AS n, sum(value)::DOUBLE AS k FROM ra GROUP BY ALL HAVING count(*) >= 2),
 s AS (SELECT {keys}, count(*) AS n_items, sum(n) AS nn, sum(k) AS kk, sum(2 * k * (n - k) / (n - 1)) AS d FROM ic GROUP BY ALL)
@@ -158,6 +167,12 @@ def alpha_pooled(spark, d):
     return A.alpha(A.item_counts(_ratings(spark, d), ("label",), ("record_uuid", "chunk_id")), ("label",))
 
 
+@query()
+def alpha_ci(spark, d):
+    """A5: alpha per source_domain and label with its bootstrap interval (1,000 resamples of the items, seed 0)."""
+    return A.alpha_interval(A.item_counts(_ratings(spark, d), ("source_domain", "label"), ("record_uuid", "chunk_id")), ("source_domain", "label"))
+
+
 @query(f"{_RATE} SELECT label, count(*) AS n_ratings, sum(value)::BIGINT AS n_true, least(sum(value), count(*) - sum(value))::BIGINT AS n_minority, round(avg(value), 6) AS prevalence, round(CASE WHEN count(*) >= 2 THEN 2.0::DOUBLE * sum(value) * (count(*) - sum(value)) / (count(*)::DOUBLE * (count(*) - 1)) END, 6) AS expected_disagreement FROM ra GROUP BY 1")
 def calibration_marginals(spark, d):
     return A.marginals(_ratings(spark, d), ("label",))
@@ -225,11 +240,11 @@ def status_scaffold(spark, d):
     return M.status_scaffold(sc, retrieval(spark, d).join(dom, "record_uuid"), ret_sub(spark, d).where("calibration").join(dom, "record_uuid"), ("source_domain",))
 
 
-@query("""WITH i AS (SELECT c_custkey - 1 AS i, c_acctbal AS v FROM customer), n AS (SELECT count(*) AS n FROM i), dr AS (SELECT b, (('0x' || substr(md5('0:' || b || ':' || x), 1, 8))::BIGINT) % n.n AS i FROM n, range(200) t(b), range(n.n) u(x)),
+@query("""WITH i AS (SELECT c_custkey - 1 AS i, c_acctbal AS v FROM customer), n AS (SELECT count(*) AS n FROM i), dr AS (SELECT b, (('0x' || substr(md5('0:' || b || ':' || x), 1, 8))::BIGINT) % n.n AS i FROM n, range(1000) t(b), range(n.n) u(x)),
 m AS (SELECT b, avg(v) AS m FROM dr JOIN i USING (i) GROUP BY 1) SELECT round((SELECT avg(v) FROM i), 6) AS mean, round(quantile_cont(m, 0.025), 6) AS ci_lower, round(quantile_cont(m, 0.975), 6) AS ci_upper FROM m""")
 def bootstrap_ci(spark, d):
     c = table(spark, d, "customer").select((F.col("c_custkey") - 1).alias("i"), F.col("c_acctbal").alias("v"))
-    return bootstrap_mean(c, "v", "i", c.count(), 200)
+    return bootstrap_mean(c, "v", "i", c.count(), 1000)
 
 
 QUERIES, ORACLE = Q, S

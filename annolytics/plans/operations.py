@@ -113,9 +113,9 @@ def discard_breakdown(spark, d):
     return g.join(x, "domain").select("domain", "reason", "n", "n_discarded", F.round(F.col("n_discarded") / F.col("all"), 6).alias("discard_rate"), F.round("nr", 6).alias("notes_rate"))
 
 
-@query(P._RATE + ", o AS (SELECT source_domain, label, annotator_id, count(*) AS n, avg(value) AS p FROM ra GROUP BY ALL), pl AS (SELECT source_domain, label, avg(value) AS pool FROM ra GROUP BY ALL HAVING count(DISTINCT annotator_id) >= 2) SELECT source_domain, label, annotator_id, n, round(p, 6) AS prevalence, round(p - pool, 6) AS delta, (abs(p - pool) >= 0.2 AND n >= 5) AS substantial FROM o JOIN pl USING (source_domain, label)")
+@query(P.rate_sql(False) + ", o AS (SELECT source_domain, label, annotator_id, count(*) AS n, avg(value) AS p FROM ra GROUP BY ALL), pl AS (SELECT source_domain, label, avg(value) AS pool FROM ra GROUP BY ALL HAVING count(DISTINCT annotator_id) >= 2) SELECT source_domain, label, annotator_id, n, round(p, 6) AS prevalence, round(p - pool, 6) AS delta, (abs(p - pool) >= 0.2 AND n >= 5) AS substantial FROM o JOIN pl USING (source_domain, label)")
 def annotator_bias(spark, d):
-    return R.annotator_bias(P._ratings(spark, d), ("source_domain", "label"), "annotator_id")
+    return R.annotator_bias(P._ratings(spark, d, calibration=False), ("source_domain", "label"), "annotator_id")
 
 
 @query(f"WITH {P.R_SQL}, c AS (SELECT record_uuid, chunk_id, bool_or(coalesce(calibration, false)) AS cal, count(DISTINCT annotator_id) FILTER (status = 'submitted') AS n_sub, max(n_retrieved_chunks) AS k FROM r WHERE chunk_id IS NOT NULL GROUP BY 1, 2), p AS (SELECT record_uuid, count(*) FILTER (n_sub > 0) >= max(k) AS panel_complete FROM c GROUP BY 1) SELECT record_uuid, chunk_id, n_sub AS n_submitted, n_sub >= CASE WHEN cal THEN 3 ELSE 1 END AS overlap_satisfied, panel_complete, (n_sub = 0 AND NOT panel_complete) AS needs_completion FROM c JOIN p USING (record_uuid)")
