@@ -83,7 +83,10 @@ def intersperse(base: DataFrame, edge: DataFrame, order: str, lead: int = 10, se
 
 def ranked(df: DataFrame, order: str, name: str) -> DataFrame:
     """Consecutive numbers from 0 in the order of a unique column: ranks within range partitions plus the sizes of those before."""
-    parts = df.repartitionByRange(order).withColumn("__p", F.spark_partition_id())
+    from annolytics.session import persist_table
+
+    # written once: the bounds of the ranges are sampled, and ranks and sizes must see the same ones
+    parts = persist_table(df.repartitionByRange(order).withColumn("__p", F.spark_partition_id()), "ranked")
     sizes = parts.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__o"))  # one row per partition
     w = Window.partitionBy("__p").orderBy(order)

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 def prune(live: DataFrame, keep: DataFrame, key: str) -> DataFrame:
     """(key, state): 'kept', 'deleted' (live only) or 'missing' (on the keep-list only); one row per key."""
-    a, b = live.select(key).distinct().withColumn("l", F.lit(True)), keep.select(key).distinct().withColumn("k", F.lit(True))
+    a, b = live.select(key).distinct().withColumn("__live", F.lit(True)), keep.select(key).distinct().withColumn("__keep", F.lit(True))
     j = a.join(b, key, "full_outer")
-    return j.select(key, F.when(F.col("l") & F.col("k"), "kept").when(F.col("l"), "deleted").otherwise("missing").alias("state"))
+    return j.select(key, F.when(F.col("__live") & F.col("__keep"), "kept").when(F.col("__live"), "deleted").otherwise("missing").alias("state"))
 
 
 def latest_wins(lists: DataFrame, dataset: str, bundle: str) -> DataFrame:

@@ -341,7 +341,9 @@ def ops_table(spark, d):
     return sc.join(o, ["domain", "purpose"], "left").na.fill(0)
 
 
-@query()
+@query(f"""WITH {_EV}, g AS (SELECT *, CASE WHEN us - lag(us) OVER w <= 1800000000 THEN 0 ELSE 1 END AS fresh FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY us, record_id, task)),
+n AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY us, record_id, task) AS no FROM g), s AS (SELECT user_id, no, min(us) AS a, max(us) AS b, count(*) AS n_events FROM n GROUP BY 1, 2)
+SELECT user_id, make_timestamp(a) AS start, make_timestamp(b) AS "end", n_events FROM s WHERE b + 1800000000 <= (SELECT max(us) // 1000 * 1000 FROM ev) - 86400000000""")
 def session_stream(spark, d):
     """The live sessions of the event table, read as a stream and drained once; closed sessions only, as append mode has it."""
     import uuid
@@ -354,7 +356,8 @@ def session_stream(spark, d):
     src = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path if _is_dir(path) else f"{d}/response_log*.parquet")
     q = sessions(src).writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True)
     q.start().awaitTermination()
-    return spark.read.schema("user_id string, start timestamp, end timestamp, n_events bigint").parquet(f"{out}/rows")
+    rows = spark.read.schema("user_id string, start timestamp, end timestamp, n_events bigint").parquet(f"{out}/rows")
+    return rows.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n_events")
 
 
 def _is_dir(path: str) -> bool:

@@ -1,8 +1,8 @@
 """The core's queries and the SQL each is compared with."""
 
-from annolytics.plans import annotation, operations, p5, reports
+from annolytics.plans import annotation, exchange, operations, p5, reports
 
-MODULES = (annotation, operations, p5, reports)
+MODULES = (annotation, operations, p5, reports, exchange)
 
 
 def queries():

@@ -52,7 +52,7 @@ def write_contract_csv(df: DataFrame, path: str, columns: list[str], prov: dict
     if missing:
         raise ValueError(f"missing columns: {missing}")
     spark, out = df.sparkSession, df.select(*columns)
-    out.write.mode("errorifexists").option("header", True).option("escape", '"').option("nullValue", "").option("emptyValue", '""').csv(path)
+    out.write.mode("errorifexists").option("header", True).option("escape", '"').option("nullValue", "").option("emptyValue", '""').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     back = spark.read.schema(out.schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
     if prov is not None:
         write_text(spark, f"{path}.provenance.json", json.dumps({**prov, "n_rows": back.count(), "output_sha256": tree_digest(spark, path), "columns": columns}, indent=1, sort_keys=True, default=str))
