@@ -109,7 +109,19 @@ def _vote_sql(table_name: str, label: str, chunk: str, where: str) -> str:
 WHERE {where} QUALIFY row_number() OVER (PARTITION BY record_uuid, chunk_id, annotator_id ORDER BY t DESC, v DESC) = 1"""
 
 
+_TIDY = r"replace(replace(replace(replace(regexp_replace(lower(trim(source_domain, E' \t\n\r')), '[\s_]+', '-', 'g'), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss')"
+_RID, _CID = f"nullif(lower(trim(record_uuid, {_STRIP})), '')", f"lower(trim(chunk_id, {_STRIP}))"
+
 ORACLE = {
+    # the reachable records of each record, by all paths over shared documents
+    "p3_found": f"""
+WITH RECURSIVE rr AS (SELECT {_RID} AS r, {_CID} AS c, nullif({_TIDY}, '') AS own FROM retrieval_rows WHERE {_RID} IS NOT NULL),
+kn AS (SELECT {_RID} AS r, min(nullif({_TIDY}, '')) AS dom FROM qa_records GROUP BY 1), sp AS (SELECT r, min(own) AS own FROM rr GROUP BY 1),
+ids AS (SELECT sp.r, coalesce(dom, own) AS dom FROM sp LEFT JOIN kn USING (r)),
+ed AS (SELECT DISTINCT rr.r, dom || ':' || regexp_extract(c, '^(.+)-c[0-9]+$', 1) AS doc FROM rr JOIN ids USING (r) WHERE regexp_matches(c, '^.+-c[0-9]+$') AND dom IS NOT NULL),
+nb AS (SELECT DISTINCT a.r AS a, b.r AS b FROM ed a JOIN ed b USING (doc)),
+tc AS (SELECT DISTINCT r, r AS t FROM ed UNION SELECT tc.r, nb.b FROM tc JOIN nb ON tc.t = nb.a)
+SELECT r AS record_uuid, min(t) AS group_uuid FROM tc GROUP BY 1 HAVING count(*) > 1""",
     "p2_found": f"""
 SELECT DISTINCT lower(trim(record_uuid, {_STRIP})) AS record_uuid, f AS field_name
 FROM (SELECT record_uuid, 'context_set' AS f, context_set AS t FROM qa_records UNION ALL SELECT record_uuid, 'answer', answer FROM qa_records) WHERE length(t) > 2000""",
