@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from annolytics.session import persist_table
 from annolytics.sources.tables import clean_key, micros
 
 GAP_S = 1800
@@ -69,10 +70,12 @@ def sessions(df: DataFrame, gap_s: int = GAP_S, user: str = "user_id", at: str =
     at_time = Window.partitionBy("user_id", "cell", "us")
     e = e.withColumn("is_start", (F.col("before") == 0) & (F.col("rank") == F.min("rank").over(at_time)))
     e = e.withColumn("is_end", (F.col("after") == 0) & (F.col("rank") == F.max("rank").over(at_time)))
-    offsets = _with_offsets(
-        e.groupBy("user_id", "cell").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_start").alias("n_start"), F.count_if("is_end").alias("n_end"))
-    )
-    seq = Window.partitionBy("user_id", "cell").orderBy("rank")
+    # written once, for the offsets, the starts and the ends: the rows that open or close a session and each cell's last
+    cell = Window.partitionBy("user_id", "cell")
+    e = e.withColumn("n", F.max("rank").over(cell)).where("is_start OR is_end OR rank = n")
+    e = persist_table(e.select("user_id", "cell", "us", "rank", "n", "is_start", "is_end"), "boundaries")
+    offsets = _with_offsets(e.groupBy("user_id", "cell").agg(F.max("n").cast("bigint").alias("n"), F.count_if("is_start").alias("n_start"), F.count_if("is_end").alias("n_end")))
+    seq = cell.orderBy("rank")
     ends = []
     for kind in ("start", "end"):
         k = e.where(f"is_{kind}").withColumn("k", F.row_number().over(seq)).join(offsets, ["user_id", "cell"])
