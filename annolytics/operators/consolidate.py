@@ -8,17 +8,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def majority(df: DataFrame, keys: tuple[str, ...], labels: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
+def majority(df: DataFrame, keys: tuple[str, ...], labels: tuple[str, ...], order: tuple[str, ...], least: tuple[str, ...] = (), most: tuple[str, ...] = ()) -> DataFrame:
     """A2: one value per item and label. More than half decides each label on its own; where true and false are equally
     many, the value comes from the first row (in `order`) that agrees with every decided label, else from the first row.
 
     Rows are first combined by item and combination of labels (map-side), so an item keeps at most 2 ** len(labels)
     combinations, however many rows it has; the second aggregate works on those. Labels must not be null. Adds n_votes.
-    Ties in `order` are broken by the labels themselves, so repeated rows change nothing but counts.
+    Ties in `order` are broken by the labels themselves, so repeated rows change nothing but counts. The columns `least`
+    and `most` go along with their smallest and greatest value of the item, in the same two aggregates.
     """
     ints = [F.col(c).cast("int").alias(c) for c in labels]
-    combos = df.select(*keys, *order, *ints).groupBy(*keys, *labels).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("first"))
-    g = combos.groupBy(*keys).agg(F.sum("n").alias("n_votes"), *[F.sum(F.col(c) * F.col("n")).alias(f"s_{c}") for c in labels], F.collect_list(F.struct("first", *labels)).alias("combos"))
+    combos = df.select(*dict.fromkeys((*keys, *order, *least, *most)), *ints).groupBy(*keys, *labels).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("first"), *[F.min(c).alias(f"__least_{c}") for c in least], *[F.max(c).alias(f"__most_{c}") for c in most])
+    g = combos.groupBy(*keys).agg(F.sum("n").alias("n_votes"), *[F.sum(F.col(c) * F.col("n")).alias(f"s_{c}") for c in labels], F.collect_list(F.struct("first", *labels)).alias("combos"), *[F.min(f"__least_{c}").alias(c) for c in least], *[F.max(f"__most_{c}").alias(c) for c in most])
 
     def place(x):
         agrees = F.lit(True)
@@ -28,7 +29,7 @@ def majority(df: DataFrame, keys: tuple[str, ...], labels: tuple[str, ...], orde
 
     g = g.withColumn("rep", F.array_min(F.transform("combos", place)))
     value = [F.when(2 * F.col(f"s_{c}") > F.col("n_votes"), 1).when(2 * F.col(f"s_{c}") < F.col("n_votes"), 0).otherwise(F.col(f"rep.{c}")).cast("int").alias(c) for c in labels]
-    return g.select(*keys, "n_votes", *value)
+    return g.select(*keys, "n_votes", *value, *least, *most)
 
 
 def melt(df: DataFrame, keys: tuple[str, ...], labels: tuple[str, ...], value: str = "value") -> DataFrame:

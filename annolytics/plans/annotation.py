@@ -54,9 +54,9 @@ def gnd_sub(spark, d):
 
 
 def ret_items(spark, d):
-    s = ret_sub(spark, d)
-    place = s.groupBy("record_uuid", "chunk_id").agg(F.min("chunk_rank").cast("int").alias("chunk_rank"), F.max("n_retrieved_chunks").alias("k"))
-    return K.majority(s, ("record_uuid", "chunk_id"), RET, ORDER).join(place, ["record_uuid", "chunk_id"])
+    """The consolidated items with their rank and the number k of chunks that were retrieved."""
+    i = K.majority(ret_sub(spark, d), ("record_uuid", "chunk_id"), RET, ORDER, least=("chunk_rank",), most=("n_retrieved_chunks",))
+    return i.withColumn("chunk_rank", F.col("chunk_rank").cast("int")).withColumnRenamed("n_retrieved_chunks", "k")
 
 
 ITEMS_R = f"{R_SQL},\n{SUB_R},\n{majority_sql('rs', 'record_uuid, chunk_id', RET, ORDER)},\npl AS (SELECT record_uuid, chunk_id, min(chunk_rank)::INT AS chunk_rank, max(n_retrieved_chunks) AS k FROM rs GROUP BY ALL),\nit AS (SELECT * FROM items JOIN pl USING (record_uuid, chunk_id))"
@@ -100,8 +100,8 @@ def line_responses(spark, d):
 def panel_metrics_lineitem(spark, d):
     """The flagship over the largest driver table: orders as queries, line numbers as chunks."""
     i = K.majority(line_responses(spark, d), ("record_uuid", "chunk_id"), RET, _LI_ORDER).withColumn("chunk_rank", F.col("chunk_id"))
-    top = i.groupBy("record_uuid").agg(F.max("chunk_id").alias("k"))
-    return M.panel_metrics(i.join(top, "record_uuid"), "record_uuid", "chunk_id", "chunk_rank", "k")
+    # a panel's k is its greatest line number, which the panel's own aggregate takes
+    return M.panel_metrics(i.withColumn("k", F.col("chunk_id")), "record_uuid", "chunk_id", "chunk_rank", "k")
 
 
 @query(f"""WITH {ITEMS_R},

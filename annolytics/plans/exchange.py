@@ -139,6 +139,30 @@ def backup_manifest(spark, d):
     return W.write_backup(rec, scratch(spark, "backup"), "dataset")
 
 
+@query(f"WITH e AS (SELECT DISTINCT {key('user_id')} AS u, epoch_us(inserted_at) AS us, {key('record_id')} AS r, {key('task')} AS task, purpose FROM response_log WHERE inserted_at IS NOT NULL AND user_id IS NOT NULL) SELECT task, count(*) AS n_events, count(DISTINCT u) AS n_users, max(us) AS last_us FROM e GROUP BY 1")
+def response_pages(spark, d):
+    """Pages as the REST source gives them, dumped as JSON, and the events in them."""
+    path = scratch(spark, "pages")
+    e = table(spark, d, "response_log").where("inserted_at IS NOT NULL AND user_id IS NOT NULL").select(clean_key("user_id").alias("u"), F.date_format("inserted_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("at"), clean_key("record_id").alias("r"), clean_key("task").alias("task"), F.coalesce("purpose", F.lit("")).alias("purpose"))
+    resp = F.struct(F.col("u").alias("user_id"), F.lit("submitted").alias("status"), F.col("at").alias("inserted_at"))
+    items = e.groupBy("r", "task", "purpose").agg(F.collect_list(resp).alias("responses"))
+    item = F.struct(F.col("r").alias("id"), F.create_map(F.lit("task"), "task", F.lit("purpose"), "purpose").alias("metadata"), "responses")
+    pages = items.groupBy(F.pmod(F.xxhash64("r"), F.lit(64)).alias("page")).agg(F.collect_list(item).alias("items"), F.count(F.lit(1)).alias("total"))
+    W.write_jsonl(pages.select("items", "total"), path)
+    x = R.read_response_pages(spark, path)
+    return x.groupBy("task").agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("user_id").alias("n_users"), F.max(F.unix_micros("at")).alias("last_us"))
+
+
+@query(f"WITH {_QA}, i AS (SELECT ru, 'u-' || dense_rank() OVER (ORDER BY ru) AS id FROM qa WHERE substr(ru, 1, 1) <> 'f') SELECT ru AS record_uuid, id AS user_key FROM qa LEFT JOIN i USING (ru)")
+def user_ids(spark, d):
+    """Names with their ids, where there is one."""
+    from annolytics.operators.consolidate import ranked
+
+    q = qa(spark, d).select("record_uuid")
+    ids = ranked(q.where("substring(record_uuid, 1, 1) <> 'f'"), "record_uuid", "k").select("record_uuid", F.concat(F.lit("u-"), F.col("k") + 1).alias("user_key"))
+    return q.join(ids, "record_uuid", "left")
+
+
 # --- evaluators ---------------------------------------------------------------------------------------------------
 _EV2 = "SELECT l_linenumber % 3 AS task, l_discount * 10 AS p, l_returnflag = 'R' AS y FROM lineitem"
 

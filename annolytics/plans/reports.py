@@ -324,4 +324,43 @@ def report_summary(spark, d):
     return j.select("domain", F.when(F.col("n_submitted") > 0, "ok").when(F.col("n_records").isNotNull(), "no submitted responses").otherwise("no data").alias("state"), F.coalesce("n_records", F.lit(0)).alias("n_records"), F.coalesce("n_submitted", F.lit(0)).alias("n_submitted"))
 
 
+@query(f"WITH {X}, y AS (SELECT *, CASE WHEN cal THEN 'calibration' ELSE 'production' END AS purpose FROM x), {counts_sql('task, purpose', 'y')} SELECT task, purpose, n_records AS total, n_completed AS completed, n_pending AS pending FROM rc")
+def record_progress(spark, d):
+    """Records in all, completed and pending, by task and purpose."""
+    y = responses(spark, d).withColumn("purpose", F.when(F.col("cal"), "calibration").otherwise("production"))
+    return T.record_counts(y, ("task", "purpose")).select("task", "purpose", F.col("n_records").alias("total"), F.col("n_completed").alias("completed"), F.col("n_pending").alias("pending"))
+
+
+@query(f"WITH {_BASE}, {_ar('al', False)}, m AS (SELECT task, label, count(*) AS n, sum(value)::BIGINT AS k FROM al GROUP BY ALL), w AS (SELECT *, k / n::DOUBLE AS p, 1.96::DOUBLE AS z FROM m) SELECT task, label, n, k, round(p, 6) AS rate, round(greatest(0.0::DOUBLE, ((p + z*z/(2*n)) - z*sqrt(p*(1-p)/n + z*z/(4.0::DOUBLE*n*n))) / (1 + z*z/n)), 6) AS ci_lower, round(least(1.0::DOUBLE, ((p + z*z/(2*n)) + z*sqrt(p*(1-p)/n + z*z/(4.0::DOUBLE*n*n))) / (1 + z*z/n)), 6) AS ci_upper, CASE WHEN least(k, n - k) = 0 THEN 'constant' WHEN least(k, n - k) / n::DOUBLE < 0.05 THEN 'rare' ELSE 'ok' END AS colour FROM w")
+def prevalence_shown(spark, d):
+    """L3: prevalence with its interval and the class that its colour stands for."""
+    from annolytics.functions.intervals import wilson
+
+    st = T.label_stats(all_ratings(spark, d, False), ("task", "label"))
+    lo, hi = wilson("n_true", "n")
+    return st.select("task", "label", "n", F.col("n_true").alias("k"), F.col("prevalence").alias("rate"), F.round(lo, 6).alias("ci_lower"), F.round(hi, 6).alias("ci_upper"), F.when(F.col("degenerate"), "constant").when(F.col("near_degenerate"), "rare").otherwise("ok").alias("colour"))
+
+
+@query(f"WITH {_EV}, {_gap_sql('user_id')}, s AS (SELECT user_id, sum(gap_us) FILTER (gap_us > 1800000000) AS pauses, max(gap_us) FILTER (gap_us > 1800000000) AS longest, sum(gap_us) FILTER (gap_us <= 1800000000) AS active, arg_max(after_record, (gap_us, us)) FILTER (gap_us > 1800000000) AS after_record FROM gp GROUP BY 1), n AS (SELECT user_id, max(us) - min(us) AS span FROM ev GROUP BY 1) SELECT user_id, span AS span_us, coalesce(active, 0)::BIGINT AS active_us, coalesce(pauses, 0)::BIGINT AS pauses_us, longest AS longest_pause_us, after_record AS longest_pause_after FROM n LEFT JOIN s USING (user_id)")
+def cadence_spans(spark, d):
+    """C4: the span of each annotator's events, active time, pauses in all, the longest and the record before it."""
+    e = events(spark, d)
+    g, lim = cadence.gaps(e, ("user_id",), "us", "record_id"), 1_800_000_000
+    long = F.col("gap_us") > lim
+    s = g.groupBy("user_id").agg(F.sum(F.when(long, F.col("gap_us"))).alias("p"), F.max(F.when(long, F.col("gap_us"))).alias("longest_pause_us"), F.sum(F.when(~long, F.col("gap_us"))).alias("a"), F.max(F.when(long, F.struct("gap_us", "us", "after_record")))["after_record"].alias("longest_pause_after"))
+    n = e.groupBy("user_id").agg((F.max("us") - F.min("us")).alias("span_us"))
+    return n.join(s, "user_id", "left").select("user_id", "span_us", F.coalesce("a", F.lit(0)).alias("active_us"), F.coalesce("p", F.lit(0)).alias("pauses_us"), "longest_pause_us", "longest_pause_after")
+
+
+@query(f"WITH {_EV}, {_gap_sql('task, user_id')}, u AS (SELECT task, user_id, gap_us / 1e6 AS g FROM gp WHERE gap_us <= 1800000000), s AS (SELECT task, user_id, quantile_cont(g, 0.5) AS m, count(*) AS n FROM u GROUP BY 1, 2), w AS (SELECT task, sum(m * n) / sum(n) AS wm FROM s GROUP BY 1), p AS (SELECT task, quantile_cont(g, 0.5) AS pm, count(*) AS n_gaps FROM u GROUP BY 1) SELECT task, n_gaps, round(pm, 1) AS pooled_median_s, round(wm, 6) AS weighted_median_s FROM p JOIN w USING (task)")
+def task_pace_both(spark, d):
+    """The median of all gaps beside the mean of the annotators' medians, weighted by their gaps."""
+    from annolytics.operators.rollup import weighted_mean
+
+    e = events(spark, d)
+    used = cadence.gaps(e, ("task", "user_id"), "us", "record_id").where("gap_us <= 1800000000")
+    own = cadence.quantiles(used, ("task", "user_id"), "gap_us", (0.5,)).select("task", (F.col("q")[0] / 1e6).alias("m"), "n").groupBy("task").agg(F.round(weighted_mean("m", "n"), 6).alias("weighted_median_s"))
+    return cadence.quantiles(used, ("task",), "gap_us", (0.5,)).select("task", F.col("n").alias("n_gaps"), F.round(F.col("q")[0] / 1e6, 1).alias("pooled_median_s")).join(own, "task")
+
+
 QUERIES, ORACLE = Q, S

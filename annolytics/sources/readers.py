@@ -141,6 +141,18 @@ def record_struct(df: DataFrame, key: str, fields: tuple[str, ...], metadata: tu
     return df.select(F.col(key).alias("id"), pairs(fields).alias("fields"), pairs(metadata).alias("metadata"), responses.alias("responses"))
 
 
+#: A page of the REST source, as it was dumped.
+PAGE_SCHEMA = "items array<struct<id: string, metadata: map<string, string>, responses: array<struct<user_id: string, status: string, inserted_at: string>>>>, total bigint"
+
+
+def read_response_pages(spark: SparkSession, path: str) -> DataFrame:
+    """The events of dumped pages: user_id, at, purpose, record_id, task of every submitted response with a time. A
+    record that stands on two pages counts once for each user and time."""
+    x = read_jsonl(spark, path, PAGE_SCHEMA).select(F.explode("items").alias("i")).select("i.id", "i.metadata", F.explode("i.responses").alias("r"))
+    x = x.where("r.status = 'submitted' AND r.inserted_at IS NOT NULL")
+    return x.select(F.col("r.user_id").alias("user_id"), F.to_timestamp("r.inserted_at").alias("at"), F.col("metadata")["purpose"].alias("purpose"), F.col("id").alias("record_id"), F.col("metadata")["task"].alias("task")).distinct()
+
+
 def read_jdbc(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
     """A query of a database; filters and aggregates behind it are pushed down where the driver can."""
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
