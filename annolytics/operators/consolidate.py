@@ -92,3 +92,15 @@ def ranked(df: DataFrame, order: str, name: str) -> DataFrame:
     offsets = sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__o"))  # one row per partition
     w = Window.partitionBy("__p").orderBy(order)
     return parts.withColumn("__r", F.row_number().over(w) - 1).join(offsets, "__p").withColumn(name, (F.col("__r") + F.col("__o")).cast("long")).drop("__p", "__r", "__o")
+
+
+def running_before(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """df, which has one row per `order`, with the sum of `value` over all rows before: sums within range partitions plus
+    those of the partitions before, so no task sees the whole table."""
+    from annolytics.session import persist_table
+
+    parts = persist_table(df.repartitionByRange(order).withColumn("__p", F.spark_partition_id()), "running")
+    sums = parts.groupBy("__p").agg(F.sum(value).alias("__s"))
+    offsets = sums.select("__p", (F.sum("__s").over(Window.orderBy("__p")) - F.col("__s")).alias("__o"))  # one row per partition
+    w = Window.partitionBy("__p").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return parts.withColumn("__r", F.coalesce(F.sum(value).over(w), F.lit(0))).join(offsets, "__p").withColumn(name, F.col("__r") + F.col("__o")).drop("__p", "__r", "__o")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,8 +41,10 @@ def truncation(df: DataFrame, length: Column, limits: tuple[int, ...]) -> DataFr
 
 
 def roc_auc(df: DataFrame, score: str, truth: str) -> DataFrame:
-    """Area under the ROC curve by counts per distinct score (ties count half). The scores are counted first, so the
-    running sums go over distinct values only."""
-    g = df.where(F.col(score).isNotNull() & F.col(truth).isNotNull()).groupBy(score).agg(F.count_if(truth).cast("double").alias("p"), F.count_if(~F.col(truth)).cast("double").alias("q"))
-    below = F.coalesce(F.sum("q").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return g.withColumn("below", below).agg(F.sum("p").alias("P"), F.sum("q").alias("N"), F.sum(F.col("p") * (F.col("below") + F.col("q") / 2)).alias("u")).select(F.round(F.try_divide("u", F.col("P") * F.col("N")), 6).alias("roc_auc"))
+    """Area under the ROC curve by counts per distinct score (ties count half); null without both classes. The scores
+    are counted first, and the running sums go over ranges of distinct values, none over all of them."""
+    from annolytics.operators.consolidate import running_before
+
+    g = df.where(F.col(score).isNotNull() & F.col(truth).isNotNull()).groupBy(F.col(score).alias("__x")).agg(F.count_if(truth).cast("double").alias("p"), F.count_if(~F.col(truth)).cast("double").alias("q"))
+    g = running_before(g, "__x", "q", "below")
+    return g.agg(F.sum("p").alias("P"), F.sum("q").alias("N"), F.sum(F.col("p") * (F.col("below") + F.col("q") / 2)).alias("u")).select(F.round(F.try_divide("u", F.col("P") * F.col("N")), 6).alias("roc_auc"))

@@ -40,3 +40,17 @@ def test_quantiles_against_numpy(spark):
         assert np.allclose(got[k].q, np.quantile(x, parts)) and got[k].n == len(x) and abs(got[k]["mean"] - np.mean(x)) < 1e-6
     assert np.allclose(cadence.quantiles(df, (), "v", (0.5,)).first().q, np.median([v for _, v in data if v is not None]))
     assert cadence.quantiles(df.where(F.lit(False)), ("k",), "v", parts).count() == 0
+
+
+def test_roc_auc_and_running_sums(spark):
+    from annolytics.operators.consolidate import running_before
+    from annolytics.operators.evaluator import roc_auc
+
+    rnd = random.Random(5)
+    data = [(round(rnd.random(), 2), rnd.random() < 0.4) for _ in range(400)]
+    pos, neg = [s for s, y in data if y], [s for s, y in data if not y]
+    want = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / len(pos) / len(neg)
+    assert abs(roc_auc(spark.createDataFrame(data, "s double, y boolean"), "s", "y").first()[0] - want) < 1e-6
+    assert roc_auc(spark.createDataFrame([(0.5, True)], "s double, y boolean"), "s", "y").first()[0] is None
+    r = running_before(spark.range(100).select((F.col("id") * 7 % 100).alias("o"), F.lit(2).alias("v")), "o", "v", "b")
+    assert all(x.b == 2 * x.o for x in r.collect())
