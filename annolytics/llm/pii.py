@@ -478,7 +478,7 @@ def mentions(docs: DataFrame, hints: DataFrame, key: str = "doc_id", text: str =
             found = find(b["__text"].tolist(), hints)
             n = list(map(len, found))
             yield pd.DataFrame({
-                key: np.repeat(b[key].to_numpy(), n), "kind": [k for f in found for _, _, k in f],
+                key: np.repeat(b[key].to_numpy(), n), "kind": np.array([k for f in found for _, _, k in f], object),
                 "start_pos": np.array([a + 1 for f in found for a, _, _ in f], "int64"), "end_pos": np.array([e for f in found for _, e, _ in f], "int64"),
             })
 
