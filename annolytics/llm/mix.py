@@ -21,7 +21,9 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCKS, BUCKETS, MAX_SOURCES, LEAST_USE = 10_000, 256, 10_000, 0.25
+BLOCKS, BUCKETS, MAX_SOURCES, LEAST_USE = 10_000, 1024, 10_000, 0.25
+#: Sums of sources and buckets that come to the driver, at most; with many sources each has fewer buckets.
+MAX_SUMS = 500_000
 
 
 def schedule(weights: dict[str, int], blocks: int, need: dict[str, int] | None = None) -> list[tuple[int, str, int]]:
@@ -90,8 +92,8 @@ def mixed(docs: DataFrame, targets: DataFrame, total: int | None = None, blocks:
     d = docs.select("doc_id", "source", F.col("n_tokens").cast("bigint").alias("n_tokens")).where("n_tokens > 0")
     known = spark.createDataFrame(rows, "source string, target_share double, max_repeats int")
     d = d.join(known.select("source"), "source", "left_semi")
-    d = d.withColumn("h", F.xxhash64("doc_id")).withColumn("bucket", F.pmod(F.col("h"), F.lit(BUCKETS)).cast("int"))
-    sums = d.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("n")).orderBy("source", "bucket").collect()  # sources x BUCKETS rows
+    d = d.withColumn("h", F.xxhash64("doc_id")).withColumn("bucket", F.pmod(F.col("h"), F.lit(max(1, min(BUCKETS, MAX_SUMS // max(1, len(rows)))))).cast("int"))
+    sums = d.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("n")).orderBy("source", "bucket").collect()  # at most MAX_SUMS rows
     sizes: dict[str, int] = {}
     starts = []
     for r in sums:
