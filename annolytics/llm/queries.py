@@ -24,7 +24,8 @@ def p1_report(spark, sf_dir):
 
 def p2_found(spark, sf_dir):
     p = split.pieces(table(spark, sf_dir, "qa_records").withColumn("record_uuid", clean_key("record_uuid")), ("record_uuid",), ("context_set", "answer"), with_text=False)
-    return p.groupBy("record_uuid", "field_name").agg(F.max("piece_no").alias("n")).where("n > 1").select("record_uuid", "field_name")
+    # a record that was delivered with several long texts is one row
+    return p.where("piece_no = 2").select("record_uuid", "field_name").distinct()
 
 
 def p2_pieces(spark, sf_dir):

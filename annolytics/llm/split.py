@@ -9,7 +9,8 @@ Boundaries are ranked: blank line, end of line, end of a sentence, white space.
 last part of a piece wins, and of that rank the farthest boundary; without any boundary the cut falls at the limit, moved
 back so that it doesn't part a base sign from its marks, the two signs of a line end, or a joined sequence.
 
-Scale: a map without a shuffle; only texts above the limit reach Python, and pieces go out as ranges unless asked for.
+Scale: a map; only texts above the limit reach Python, and pieces go out as ranges unless asked for. Digests of the values
+tell which come more than once; only those are shuffled, to be cut once.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annolytics.operators.joins import join_unique
+from annolytics.session import persist_table
+
 MAX_CHARS, OVERLAP, SLACK = 2000, 200, 40
 #: A boundary of a better rank is taken only where the piece keeps at least this part of its size.
 LEAST_PART = 0.5
@@ -157,10 +161,18 @@ def pieces(df: DataFrame, keys: tuple[str, ...], fields: tuple[str, ...], limit:
     keys and value give one set of pieces; null keys stay null. Extra columns are ignored.
     """
     head = df.select(*keys).schema
-    long = None
+    ids, long = [f"__k{i}" for i in range(len(keys))], None
     for f in fields:
-        part = df.select(*keys, F.lit(f).alias("field_name"), F.col(f).alias("__text")).where(F.length("__text") > limit)
+        part = df.select(*[F.col(k).alias(i) for k, i in zip(keys, ids)], F.lit(f).alias("__field"), F.col(f).alias("__text")).where(F.length("__text") > limit)
         long = part if long is None else long.unionAll(part)
+    # only values that come more than once have to be brought together: digests are counted, texts stay where they are
+    value = F.sha2(F.to_json(F.struct(*ids, "__field", F.sha2("__text", 256).alias("d"))), 256)
+    long = long.withColumn("__id", value)
+    more = persist_table(long.groupBy("__id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"), "repeats")
+    marked = join_unique(long, more, "__id", "left")
+    once = marked.where("__n IS NULL").drop("__n")
+    long = once.unionByName(marked.where("__n IS NOT NULL").drop("__n").dropDuplicates(["__id"])).drop("__id")
+    long = long.select(*[F.col(i).alias(k) for k, i in zip(keys, ids)], F.col("__field").alias("field_name"), "__text")
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in head) + ", field_name string, piece_no int, start_pos int, end_pos int" + (", piece string" if with_text else "")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -181,5 +193,4 @@ def pieces(df: DataFrame, keys: tuple[str, ...], fields: tuple[str, ...], limit:
                 yield rows
                 at = end
 
-    out = long.mapInPandas(run, cols)
-    return out.dropDuplicates([*keys, "field_name", "start_pos", "end_pos"]) if not with_text else out.dropDuplicates([*keys, "field_name", "start_pos", "end_pos", "piece"])
+    return long.mapInPandas(run, cols)
