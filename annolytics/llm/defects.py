@@ -27,8 +27,10 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -133,10 +135,10 @@ def language(text: str) -> str | None:
     if not low.isascii() and (n := len(NOT_LATIN.findall(low))) and 2 * n > sum(c.isalpha() for c in low):
         return "other"
     told = False
-    for w in WORD.findall(low):
-        for k, v in table.get(w, ()):
+    for w in filter(table.__contains__, WORD.findall(low)):
+        for k, v in table[w]:
             votes[k] = votes.get(k, 0.0) + v
-            told = told or len(w) > 1
+        told = told or len(w) > 1
     if not told:  # single letters alone may be parts of words
         return None
     best = sorted(votes.values(), reverse=True)
@@ -145,11 +147,12 @@ def language(text: str) -> str | None:
     return max(votes, key=votes.get)
 
 
+@lru_cache(maxsize=8)
 def plain(text: str) -> str:
     """The text without entities, tags, zero-width signs and markup signs."""
-    t = html.unescape(text)
+    t = html.unescape(text) if "&" in text else text
     t = TAG.sub(" ", t) if "<" in t else t
-    return re.sub(r"[​-‏⁠﻿­]", "", t)
+    return t if t.isascii() else re.sub(r"[​-‏⁠﻿­]", "", t)
 
 
 _PHRASES = re.compile("(?:(?:%s)(?: |$))+" % "|".join(sorted((*PLACEHOLDER_PHRASES, "none", "null", "nil", "nan", "undefined", "empty", "leer", "tbd", "todo", "entfällt"), key=len, reverse=True)))
@@ -244,14 +247,26 @@ def tokens(text: str) -> list[str]:
     return WORD.findall(fold(plain(text)))
 
 
-_UMLAUTS = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "đ": "d"})
+# fixed values: letters written out
+_WRITTEN_OUT = (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("ø", "o"), ("ł", "l"), ("đ", "d"))
+_COMBINING: re.Pattern | None = None
+
+
+def _combining() -> re.Pattern:
+    """Signs that combine with the one before, as one class, from the Unicode tables."""
+    global _COMBINING
+    if _COMBINING is None:
+        _COMBINING = re.compile("[" + "".join(re.escape(chr(c)) for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))) + "]+")
+    return _COMBINING
 
 
 def fold(text: str) -> str:
-    t = unicodedata.normalize("NFKC", text).lower().translate(_UMLAUTS)
-    if not t.isascii():
-        t = "".join(c for c in unicodedata.normalize("NFD", t) if not unicodedata.combining(c))
-    return t
+    if text.isascii():
+        return text.lower()
+    t = unicodedata.normalize("NFKC", text).lower()
+    for a, b in _WRITTEN_OUT:
+        t = t.replace(a, b)
+    return t if t.isascii() else _combining().sub("", unicodedata.normalize("NFD", t))
 
 
 def tile_cover(answer: list[str], query: list[str], least: int = MIN_TILE) -> float:
@@ -345,7 +360,7 @@ OPEN_TAGS = frozenset("p li td tr th dt dd option br hr img input meta link wbr
 UNENDING = re.compile(r"(?:^|\s)(?:z\.\s?b|d\.\s?h|u\.\s?a|bzw|ca|nr|abs|art|vgl|inkl|ggf|sog|insb|dr|prof|e\.\s?g|i\.\s?e|vs|p\.\s?ex|bijv|mr|mrs|ms)\.$", re.I)
 
 
-_MARKS = re.compile(r"```|`|\*\*|__|<(/?)([A-Za-z][A-Za-z0-9]*)((?:\s[^<>]*)?)(/?)>|\n[ \t\r]*\n|\n|[(\[{)\]}„«»‚‘’'“”\"]")
+_MARKS = re.compile(r"```|`|\*\*|__|<(/?)([A-Za-z][A-Za-z0-9]*)((?:\s[^<>]*)?)(/?)>|\n[ \t\r]*\n|[(\[{)\]}„«»‚‘’'“”\"]")
 _TAG_BEGUN = re.compile(r"<(?:/?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?)?$|<!--(?:(?!-->).)*$", re.S)
 
 
@@ -373,8 +388,7 @@ def left_open(text: str) -> list[str]:
             stack.append(c)
             continue
         if c[0] == "\n":
-            if c.count("\n") > 1:
-                stack[:] = [s for s in stack if s in "„«“" or s[0] == "<"]
+            stack[:] = [s for s in stack if s in "„«“" or s[0] == "<"]
             continue
         if "`" in stack:
             if c == "`":
@@ -422,6 +436,7 @@ def _lines(text: str) -> list[str]:
     return [x for x in text.rstrip().splitlines() if x.strip()]
 
 
+@lru_cache(maxsize=8)
 def _body(answer: str) -> tuple[list[str], list[str]]:
     """The answer's lines that aren't blank, up to the one that tells whether it breaks off, and those behind it."""
     lines = _lines(unicodedata.normalize("NFC", plain(answer)))
@@ -440,6 +455,7 @@ FORM = "\u00b6"
 _FORM_TOKENS = re.compile(r"\d+(?:[.,\u00a0\u202f ]?\d+)*|[^\W\d_]+(?:[-'’/.&+][^\W\d_]+)*|\s[–—-]\s|[,;:()\[\]|/=%]")
 
 
+@lru_cache(maxsize=512)
 def form(item: str) -> str:
     """The form of an item: w for words in a row, n for numbers, its separators and brackets as they are."""
     out: list[str] = []
@@ -456,11 +472,11 @@ def whole_words(answer: str | None, whole: bool) -> set[str]:
     if not answer:
         return set()
     body, behind = _body(answer)
-    words = ALONE.findall("\n".join(body))
+    words = ALONE.findall("\n".join(body).lower())
     if words and not whole:
         words.pop()
     forms = {FORM + form(BULLET.sub("", x).strip()) for x in (body if whole else body[:-1]) if BULLET.match(x)}
-    return {w.lower() for w in words + ALONE.findall("\n".join(behind))} | forms
+    return {*words, *ALONE.findall("\n".join(behind).lower())} | forms
 
 
 _SENTENCE_SIGN = re.compile(r"(?:[^\W\d_]|[\])\"”»%])[.!?。！？][\"'”“’»)\]*_]*(?:\s|$)")
