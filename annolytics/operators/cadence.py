@@ -28,7 +28,10 @@ def gaps(events: DataFrame, keys: tuple[str, ...], us: str, record: str, bucket_
 
 def summary(events: DataFrame, keys: tuple[str, ...], us: str, record: str, threshold_s: int, min_events: int = 5) -> DataFrame:
     """Per key n_events, n_gaps_total, n_gaps_used (within the threshold), n_sessions, longest_pause_s and, where
-    there are min_events events and a used gap, median, mean, p25, p75 of the used gaps in seconds (else null)."""
+    there are min_events events and a used gap, median, mean, p25, p75 of the used gaps in seconds (else null). Without
+    keys all events are one stream; no events give no row."""
+    if not keys:
+        return summary(events.withColumn("__all", F.lit(0)), ("__all",), us, record, threshold_s, min_events).drop("__all")
     limit = threshold_s * 1_000_000
     n = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_events"))
     used = F.when(F.col("gap_us") <= limit, F.col("gap_us") / 1e6)
@@ -47,7 +50,9 @@ def summary(events: DataFrame, keys: tuple[str, ...], us: str, record: str, thre
 def pooled(events: DataFrame, keys: tuple[str, ...], user: str, us: str, record: str, threshold_s: int, min_gaps: int = 5, quartiles: bool = False) -> DataFrame:
     """Used gaps of all users together, per keys: n_gaps_used, median_s, mean_s and, if asked for, p25_s and p75_s;
     suppressed below min_gaps gaps. Gaps never cross users. Equal gaps are counted before they are ordered (see
-    `quantiles`), so no key's gaps have to fit one task."""
+    `quantiles`), so no key's gaps have to fit one task. Without keys all gaps are one stream; no events give no row."""
+    if not keys:
+        return pooled(events.withColumn("__all", F.lit(0)), ("__all",), user, us, record, threshold_s, min_gaps, quartiles).drop("__all")
     limit = threshold_s * 1_000_000
     used = gaps(events, (*keys, user), us, record).where(F.col("gap_us") <= limit)
     none = events.select(*keys).distinct()
