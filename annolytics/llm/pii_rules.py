@@ -133,6 +133,11 @@ _TITLES_AHEAD = re.compile(rf"(?:(?:{TITLE})[\s\-]*)+", re.I)
 _AT_SIGN = re.compile(r"[@＠]|[(\[{<]\s?(?:at|ät|a|@)\s?[)\]}>]|\s(?:at|ät|arobase|apenstaartje|ad)\s", re.I)
 _DATE = re.compile(r"\d{1,2}\.\d{1,2}\.\d{2,4}|\d{4}-\d\d-\d\d")
 _LINKS = "-'’‐‑"
+# fixed values: words of institutions, which may bear a person's name before or behind them
+_BEFORE = re.compile(r"(?:Universität|Hochschule|Stiftung|Akademie|\w*[Ss]chule|Klinik|Bibliothek|Gymnasium|Museum|Université|Fondation|Lycée|École|Stichting)\s$")
+_BEHIND = re.compile(r"[\s-](?:Stiftung|Universität|\w*[Ss]chule|Institut|Preis|Haus|Gymnasium|Foundation|University|Institute|Museum|Library|College|School|Trust|Klinik|Stadion|Award)\b")
+_MORE_NUMBER = re.compile(r"[.,]\d|\s?(?:%|Prozent|Euro|percent|euros?|procent)\b")
+_FUNCTION, _PARTICLE = frozenset(w for w in FUNCTION_WORDS if len(w) > 1) - frozenset(PARTICLES), frozenset(PARTICLES)
 
 
 def _word_sign(c: str) -> bool:
@@ -156,9 +161,9 @@ def _to_words(text: str, a: int, b: int, extra: str) -> tuple[int, int]:
 def trimmed(text: str, a: int, b: int, kind: str) -> tuple[int, int] | None:
     """The span's limits at the edges of words, None where it can't be of its kind.
 
-    A name needs a capital and two words, or one behind a form of address; forms of address and titles at its beginning
-    are left out. A telephone number takes plus signs and brackets before it and needs five digits that aren't a date; an
-    identity number has seven signs, three of them digits; an address a letter and a digit; a mail address an at-sign,
+    A name needs a capital and two words, or one behind a form of address, no function word, and nothing small but
+    particles; forms of address and titles at its beginning are left out. A telephone number takes plus signs and brackets before it and needs five digits that aren't a date; an
+    identity number has seven signs, two of them digits; an address a capital and a number that isn't part of a larger one; a mail address an at-sign,
     however written, with something on either side."""
     if kind == "phone":
         while a < b and not (text[a].isdigit() or text[a] in "+("):
@@ -178,14 +183,19 @@ def trimmed(text: str, a: int, b: int, kind: str) -> tuple[int, int] | None:
         return (a, b) if m and m.start() > a and m.end() < b else None
     a, b = _to_words(text, a, b, _LINKS)
     if kind == "identity":
-        return (a, b) if b - a >= 7 and sum(c.isdigit() for c in text[a:b]) >= 3 else None
+        return (a, b) if b - a >= 7 and sum(c.isdigit() for c in text[a:b]) >= 2 else None
     if kind == "address":
-        return (a, b) if any(c.isdigit() for c in text[a:b]) and sum(c.isalpha() for c in text[a:b]) > 1 else None
+        number = any(c.isdigit() for c in text[a:b]) and not (text[b - 1].isdigit() and _MORE_NUMBER.match(text, b))
+        return (a, b) if number and sum(c.isalpha() for c in text[a:b]) > 1 and any(c.isupper() for c in text[a:b]) else None
     if m := _TITLES_AHEAD.match(text, a, b):
         if m.end() < b:
             a = m.end()
     words = [w for w in re.split(r"[\s,]+", text[a:b]) if w]
     capital = [w for w in words if w[0].isupper() or unicodedata.category(w[0]) == "Lt"]
+    if any(w.lower() in _FUNCTION for w in capital) or any(w.lower() not in _PARTICLE for w in words if w not in capital and w[0].islower()):
+        return None
+    if any(len(w) == 1 for w in capital) or words and words[-1] not in capital or _BEFORE.search(text[max(0, a - 40) : a]) or _BEHIND.match(text, b):
+        return None
     if not capital or len(capital) == 1 and not _TITLE_END.search(text[max(0, a - 40) : a]):
         return None
     return a, b

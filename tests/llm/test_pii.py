@@ -69,3 +69,10 @@ def test_reconciliation():
 
 def test_unreadable_places():
     assert pii.find([None, "", "  \n", "\ud800".encode("utf-16", "surrogatepass").decode("utf-16", "replace"), "a" * 50_000, "1 " * 20_000], HINTS)[:3] == [[], [], []]
+
+
+def test_what_is_no_mention():
+    for t in ("Die Universität Maria Theresia liegt im Osten.", "Die Robert Bosch Stiftung fördert das.", "Das Anna Schneider Gymnasium ist zu.", "Die Kosten trägt Hohenrode zu 54,2 Prozent.", "Eine Haushaltslücke allein genügt nicht."):
+        assert pii.find([t], HINTS) == [[]], t
+    assert pii.checked("Ausweis-Nr. PYW28VYRG da", [(12, 21, "identity")]) == [(12, 21, "identity")]
+    assert pii.checked("À Rosenbüren, la", [(0, 16, "name")]) == [] and pii.checked("aside 678 euros", [(0, 9, "address")]) == []
