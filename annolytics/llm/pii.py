@@ -252,13 +252,15 @@ class Model:
         T, B = x.shape
         H, p = self.hidden, self.p
         h, c = np.zeros((2, B, H), np.float32), np.zeros((2, B, H), np.float32)
-        z, tmp = np.empty((2, B, 4 * H), np.float32), np.empty((2, B, H), np.float32)
+        z, inputs, tmp = np.empty((2, B, 4 * H), np.float32), np.empty((2, B, 4 * H), np.float32), np.empty((2, B, H), np.float32)
         hs = np.empty((2, T, B, H), np.float32)
-        rows = np.stack([x, x[::-1]])
+        # the rows of both directions in one table, the second from the end on
+        rows = np.stack([x, x[::-1] + self.table.shape[1]], 1).astype(np.intp)
+        table = self.table.reshape(-1, 4 * H)
         for t in range(T):
+            np.take(table, rows[t], axis=0, out=inputs, mode="clip")
             np.matmul(h, p["Wh"], out=z)
-            z[0] += self.table[0][rows[0, t]]
-            z[1] += self.table[1][rows[1, t]]
+            z += inputs
             np.tanh(z, out=z)
             s = z[..., : 3 * H]
             s *= 0.5
